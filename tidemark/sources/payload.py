@@ -24,9 +24,10 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_payload(df: DataFrame, text_col: str = "payload") -> DataFrame:
-    """Parse a JSON text column into the payload struct fields (kept: the text)."""
+    """Parse a JSON text column into the payload's top-level fields (the
+    input columns are kept)."""
     parsed = F.from_json(F.col(text_col), PAYLOAD_DDL)
-    return df.select(F.col(text_col), parsed.alias("_doc")).select(text_col, "_doc.*")
+    return df.withColumn("_doc", parsed).select(*df.columns, "_doc.*")
 
 
 def key_present(text_col, path: str, key: str) -> Column:
@@ -42,13 +43,15 @@ def _default_when_missing(field: str, text_col: str | None) -> Column:
     return F.when(key_present(text_col, "$.current", field), value).otherwise(F.lit(0.0))
 
 
-def payload_rows(df: DataFrame, text_col: str | None = None) -> DataFrame:
+def payload_rows(df: DataFrame, text_col: str | None = None, keep=()) -> DataFrame:
     """Flatten parsed payloads to the raw columns (no id, no ``inserted_at``).
 
     ``text_col`` names the original JSON text; given, missing-key defaults are
     exact (absent -> 0, explicit null -> NULL); otherwise NULL also becomes 0.
+    ``keep`` names input columns passed through in front.
     """
     return df.select(
+        *keep,
         F.col("location.name").alias("city"),
         F.col("current.temperature").cast("double").alias("temperature"),
         F.get(F.col("current.weather_descriptions"), 0).alias("weather_description"),
