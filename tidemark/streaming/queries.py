@@ -1,4 +1,79 @@
-"""Registered streaming queries (filled in by the streaming module)."""
+"""Registered streaming queries.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLES: dict[str, str] = {}
+Each lands the ``events`` table as several files in the shared folder, runs
+the stream over them one file per micro-batch with ``availableNow``, and
+returns the table the stream maintained. The final tables equal the batch
+results, so the batch oracle SQL applies.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.plans.catalog import AS_OF
+from tidemark.schemas import DAILY_COLUMNS, RAW_COLUMNS
+from tidemark.session import checkpoint_dir, scratch_path
+from tidemark.sources.raw import city_dim, observations_from_events, read_table
+from tidemark.streaming import incremental as inc
+
+LANDING_FILES = 4
+STREAM_TIMEOUT_S = 3600
+
+
+def _raw_stream(spark: SparkSession, sf: str) -> DataFrame:
+    events = read_table(spark, sf, "events")
+    checkpoint_dir(spark)
+    landing = scratch_path(spark, "landing-events")
+    inc.land_in_files(events, landing, LANDING_FILES, "ts")
+    stream = inc.read_landing(spark, landing, events.schema, max_files_per_trigger=1)
+    return observations_from_events(stream, city_dim(spark))
+
+
+def _finish(query) -> None:
+    if not query.awaitTermination(STREAM_TIMEOUT_S):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not finish")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_path(spark, "stream-raw")
+    _finish(inc.ingest(_raw_stream(spark, sf), target, scratch_path(spark, "ckpt")))
+    return spark.read.parquet(target).select(*RAW_COLUMNS)
+
+
+def q_stream_latest_wins(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_path(spark, "stream-latest")
+    _finish(inc.run_latest_wins(_raw_stream(spark, sf), target, scratch_path(spark, "ckpt")))
+    return inc.read_latest(spark, target)
+
+
+def q_stream_windowed_latest(spark: SparkSession, sf: str) -> DataFrame:
+    target = scratch_path(spark, "stream-windowed")
+    _finish(inc.run_windowed_latest(_raw_stream(spark, sf), target, scratch_path(spark, "ckpt")))
+    return inc.read_latest(spark, target)
+
+
+def q_stream_daily_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    staging_path = scratch_path(spark, "stream-staging")
+    daily_path = scratch_path(spark, "stream-daily")
+    _finish(inc.run_refresh(_raw_stream(spark, sf), staging_path, daily_path,
+                            scratch_path(spark, "ckpt"), as_of=AS_OF))
+    return spark.read.parquet(daily_path).select(*DAILY_COLUMNS)
+
+
+STREAM_QUERIES = {
+    "stream_ingest": q_stream_ingest,
+    "stream_latest_wins": q_stream_latest_wins,
+    "stream_windowed_latest": q_stream_windowed_latest,
+    "stream_daily_refresh": q_stream_daily_refresh,
+}
+
+# streaming query -> batch query whose oracle SQL it must match
+STREAM_ORACLES: dict[str, str] = {
+    "stream_ingest": "raw_projection",
+    "stream_latest_wins": "dedup_latest",
+    "stream_windowed_latest": "dedup_latest",
+    "stream_daily_refresh": "daily_average",
+}
