@@ -7,10 +7,9 @@ distinct value outside the list (NULL passes both), an optional ``where``
 restricts the rows tested. ``in_range`` counts non-NULL rows outside
 ``[low, high]``.
 
-The suite evaluates all row-count checks of one table in a single aggregation
-pass, all accepted-value checks in one more pass (each row emits only its
-failing values, which are pre-aggregated before the shuffle), and each
-``unique`` check with one grouping.
+The suite evaluates all checks of one table in a single pass with a single
+shuffle: each row emits one small record per check it fails, and records are
+pre-aggregated before the shuffle.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import literal_frame
 from tidemark.schemas import CITIES, DOCUMENTED_RANGES, WEATHER_DESCRIPTIONS
 
 
@@ -107,82 +107,66 @@ def _check_label(check: Check) -> str:
     return check.test
 
 
-def _count_pass(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame | None:
-    """not_null and in_range checks of one table in a single aggregation."""
-    aggs = []
-    for idx, ch in checks:
-        rows = F.expr(ch.where) if ch.where else F.lit(True)
-        if ch.test == "not_null":
-            failing = F.col(ch.column).isNull()
-        else:
-            c = F.col(ch.column)
-            failing = c.isNotNull() & ~c.between(ch.low, ch.high)
-        aggs.append(F.count_if(rows & failing).alias(f"c{idx}"))
-    if not aggs:
-        return None
-    one = df.agg(*aggs)
-    entries = [
-        F.struct(F.lit(idx).alias("check_id"), F.col(f"c{idx}").alias("n_failed"))
-        for idx, _ in checks
-    ]
-    return one.select(F.explode(F.array(*entries)).alias("r")).select("r.*")
-
+def _check_records(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame:
+    """All checks of one table in one pass and one shuffle.
 
-def _accepted_pass(df: DataFrame, checks: list[tuple[int, Check]]) -> DataFrame | None:
-    """All accepted-value checks of one table: each row emits its failing values."""
-    if not checks:
-        return None
+    Each row emits a ``(check_id, value)`` record per check it fails (every
+    non-NULL row for ``unique``); records are grouped on ``(check_id, value)``
+    with map-side partial aggregation, so a hot value collapses before the
+    shuffle. Per check this gives failing rows (not_null, in_range), distinct
+    failing values (accepted_values) or duplicated values (unique).
+    """
     items = []
     for idx, ch in checks:
-        failing = _outside(ch.column, ch.values)
+        c = F.col(ch.column)
+        value = F.lit(None).cast("string")
+        if ch.test == "not_null":
+            failing = c.isNull()
+        elif ch.test == "in_range":
+            failing = c.isNotNull() & ~c.between(ch.low, ch.high)
+        elif ch.test == "accepted_values":
+            failing, value = _outside(ch.column, ch.values), c.cast("string")
+        elif ch.test == "unique":
+            failing, value = c.isNotNull(), c.cast("string")
+        else:
+            raise ValueError(f"unknown test {ch.test}")
         if ch.where:
             failing = F.expr(ch.where) & failing
-        items.append(
-            F.when(
-                failing,
-                F.struct(
-                    F.lit(idx).alias("check_id"),
-                    F.col(ch.column).cast("string").alias("value"),
-                ),
-            )
-        )
-    failing_values = (
+        items.append(F.when(failing, F.struct(F.lit(idx).alias("check_id"), value.alias("value"))))
+    grouped = (
         df.select(F.explode(F.array_compact(F.array(*items))).alias("f"))
         .select("f.check_id", "f.value")
         .groupBy("check_id", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return failing_values.groupBy("check_id").agg(F.count(F.lit(1)).alias("n_failed"))
-
-
-def _unique_pass(df: DataFrame, idx: int, ch: Check) -> DataFrame:
-    rows = df.filter(F.expr(ch.where)) if ch.where else df
-    return unique_failures(rows, ch.column).agg(
-        F.lit(idx).alias("check_id"), F.count(F.lit(1)).alias("n_failed")
+    return grouped.groupBy("check_id").agg(
+        F.sum("n").alias("rows"),
+        F.count(F.lit(1)).alias("groups"),
+        F.count_if(F.col("n") > 1).alias("dup_groups"),
     )
 
 
 def run_suite(spark: SparkSession, models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     """One row per check: ``check_id, model, test, column_name, n_failed, passed``."""
     indexed = list(enumerate(checks, start=1))
-    parts = []
+    results = None
     for model, df in models.items():
         mine = [(i, ch) for i, ch in indexed if ch.model == model]
-        counted = _count_pass(df, [(i, c) for i, c in mine if c.test in ("not_null", "in_range")])
-        accepted = _accepted_pass(df, [(i, c) for i, c in mine if c.test == "accepted_values"])
-        parts += [p for p in (counted, accepted) if p is not None]
-        parts += [_unique_pass(df, i, c) for i, c in mine if c.test == "unique"]
-    results = parts[0]
-    for p in parts[1:]:
-        results = results.unionByName(p)
-    # the check list is fixed and small: a literal frame of len(checks) rows
-    catalog = spark.createDataFrame(
-        [(i, ch.model, _check_label(ch), ch.column) for i, ch in indexed],
-        "check_id INT, model STRING, test STRING, column_name STRING",
+        if mine:
+            part = _check_records(df, mine)
+            results = part if results is None else results.unionByName(part)
+    # the check list is fixed by the code: a literal frame of len(checks) rows
+    catalog = literal_frame(
+        spark, [(i, ch.model, _check_label(ch), ch.column) for i, ch in indexed],
+        ["check_id", "model", "test", "column_name"],
     )
     joined = catalog.join(F.broadcast(results.withColumnRenamed("check_id", "_cid")),
                           F.col("check_id") == F.col("_cid"), "left")
-    n_failed = F.coalesce(F.col("n_failed"), F.lit(0)).cast("long")
+    test = F.col("test")
+    raw_n = (F.when(test == "accepted_values", F.col("groups"))
+             .when(test == "unique", F.col("dup_groups"))
+             .otherwise(F.col("rows")))
+    n_failed = F.coalesce(raw_n, F.lit(0)).cast("long")
     return joined.select(
         "check_id", "model", "test", "column_name",
         n_failed.alias("n_failed"), (n_failed == 0).alias("passed"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import literal_frame
 from tidemark.functions.timeshift import hour_floor
 from tidemark.schemas import CITY_UTC_OFFSETS, RAW, RAW_COLUMNS
 
@@ -20,7 +21,7 @@ def city_dim(spark: SparkSession) -> DataFrame:
     Its size is fixed by the constant list, so it is always safe to broadcast.
     """
     rows = [(k, city, offset) for k, (city, offset) in enumerate(CITY_UTC_OFFSETS)]
-    return spark.createDataFrame(rows, "k INT, city STRING, utc_offset STRING")
+    return literal_frame(spark, rows, ["k", "city", "utc_offset"])
 
 
 def scan_raw(df: DataFrame) -> DataFrame:

@@ -95,9 +95,10 @@ def merge_latest(
     if current is not None:
         touched = fresh.select(SLOT_DATE).distinct()
         affected = current.join(touched, SLOT_DATE, "left_semi")
-        fresh = latest_per_key(affected.unionByName(fresh), keys, order_col, tie_col)
-    merged = fresh.checkpoint(eager=True)
-    overwrite_partitions(merged, target_path, [SLOT_DATE])
+        # the merge reads the partitions it replaces: materialise it first
+        fresh = latest_per_key(affected.unionByName(fresh), keys, order_col, tie_col) \
+            .checkpoint(eager=True)
+    overwrite_partitions(fresh, target_path, [SLOT_DATE])
 
 
 def latest_wins_sink(target_path: str, **kw):
@@ -157,7 +158,8 @@ def refresh_batch(batch: DataFrame, staging_path: str, daily_path: str, as_of,
     table = spark.read.parquet(staging_path).join(slot_dates, SLOT_DATE, "left_semi")
     stg = staging_from_retained(table)
     daily = daily_average(stg).join(touched, "date", "left_semi")
-    overwrite_partitions(daily.checkpoint(eager=True), daily_path, ["date"])
+    # reads the staging table only, so the daily partitions can be replaced directly
+    overwrite_partitions(daily, daily_path, ["date"])
 
 
 def refresh_sink(staging_path: str, daily_path: str, as_of, hours: int = RETENTION_HOURS):
