@@ -20,11 +20,17 @@ def assign_ids(
     base: int | None = 0,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``id_col`` = base + rank of the row in ``order_cols`` (must be a total order)."""
+    """Add ``id_col`` = base + rank of the row in ``order_cols`` (ties broken by
+    the other columns)."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # remaining sortable columns break ties, so a recomputed task (lost executor)
+    # numbers its rows exactly as before; fully equal rows are interchangeable
+    ties = [name for name, dtype in df.dtypes
+            if name not in order_cols and not dtype.startswith(("map", "variant"))]
+    sort_cols = [F.col(c).asc_nulls_first() for c in list(order_cols) + ties]
     ordered = (
         df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
+        .sortWithinPartitions(*sort_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )

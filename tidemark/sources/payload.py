@@ -36,11 +36,15 @@ def key_present(text_col, path: str, key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(obj), F.lit(key)), F.lit(False))
 
 
+CURRENT_KEYS = "_current_keys"
+
+
 def _default_when_missing(field: str, text_col: str | None) -> Column:
     value = F.col(f"current.{field}")
     if text_col is None:
         return F.coalesce(value, F.lit(0.0))
-    return F.when(key_present(text_col, "$.current", field), value).otherwise(F.lit(0.0))
+    present = F.coalesce(F.array_contains(F.col(CURRENT_KEYS), F.lit(field)), F.lit(False))
+    return F.when(present, value).otherwise(F.lit(0.0))
 
 
 def payload_rows(df: DataFrame, text_col: str | None = None, keep=()) -> DataFrame:
@@ -50,6 +54,10 @@ def payload_rows(df: DataFrame, text_col: str | None = None, keep=()) -> DataFra
     exact (absent -> 0, explicit null -> NULL); otherwise NULL also becomes 0.
     ``keep`` names input columns passed through in front.
     """
+    if text_col is not None:
+        # the keys of ``current`` are listed once per document, for every default
+        df = df.withColumn(
+            CURRENT_KEYS, F.json_object_keys(F.get_json_object(F.col(text_col), "$.current")))
     return df.select(
         *keep,
         F.col("location.name").alias("city"),
