@@ -23,6 +23,7 @@ micro-batch is a static DataFrame.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -101,9 +102,19 @@ def merge_latest(
     overwrite_partitions(fresh, target_path, [SLOT_DATE])
 
 
+def _with_persisted(batch: DataFrame, fn) -> None:
+    """Run ``fn`` on a micro-batch kept in executor memory/disk, so the
+    several actions of a merge do not re-read the batch's source files."""
+    kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fn(kept)
+    finally:
+        kept.unpersist()
+
+
 def latest_wins_sink(target_path: str, **kw):
     def _sink(batch: DataFrame, epoch_id: int) -> None:
-        merge_latest(batch, target_path, **kw)
+        _with_persisted(batch, lambda b: merge_latest(b, target_path, **kw))
     return _sink
 
 
@@ -164,7 +175,7 @@ def refresh_batch(batch: DataFrame, staging_path: str, daily_path: str, as_of,
 
 def refresh_sink(staging_path: str, daily_path: str, as_of, hours: int = RETENTION_HOURS):
     def _sink(batch: DataFrame, epoch_id: int) -> None:
-        refresh_batch(batch, staging_path, daily_path, as_of, hours)
+        _with_persisted(batch, lambda b: refresh_batch(b, staging_path, daily_path, as_of, hours))
     return _sink
 
 
