@@ -1,7 +1,5 @@
 import json
 
-import pytest
-
 from tidemark.sources.payload import parse_payload, payload_rows, read_payloads, split_rejects
 
 

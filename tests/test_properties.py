@@ -1,4 +1,3 @@
-import random
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st

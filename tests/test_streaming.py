@@ -46,3 +46,44 @@ def test_refresh_batches_equal_batch_daily(spark):
     want = daily_average(staging(raw, as_of=AS_OF))
     assert got.count() == want.count() == 275
     assert got.select(want.columns).exceptAll(want).count() == 0
+
+
+def _land(df, path):
+    df.coalesce(1).write.mode("append").parquet(path)
+
+
+def test_ingest_restart_is_exactly_once(spark):
+    from tidemark.schemas import RAW
+    from tidemark.streaming.incremental import ingest, read_landing
+
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("land", "tgt", "ck"))
+    _land(raw_df(spark, [dict(id=1), dict(id=2, city="Paris")]), landing)
+    for _ in range(2):  # second run restarts from the same checkpoint
+        q = ingest(read_landing(spark, landing, RAW), target, ckpt)
+        q.awaitTermination(600)
+    assert ids(spark.read.parquet(target)) == [1, 2]
+    _land(raw_df(spark, [dict(id=3, city="Tokyo")]), landing)
+    ingest(read_landing(spark, landing, RAW), target, ckpt).awaitTermination(600)
+    assert ids(spark.read.parquet(target)) == [1, 2, 3]
+
+
+def test_watermarked_form_drops_rows_later_than_the_delay(spark):
+    from tidemark.schemas import RAW
+    from tidemark.streaming.incremental import read_landing, run_windowed_latest
+
+    landing, target, ckpt = (scratch_path(spark, n) for n in ("wland", "wtgt", "wck"))
+    _land(raw_df(spark, [dict(id=1, time="2026-01-03 00:00:00",
+                              inserted_at="2026-01-03 00:10:00")]), landing)
+    q = run_windowed_latest(read_landing(spark, landing, RAW, max_files_per_trigger=1),
+                            target, ckpt)
+    q.awaitTermination(600)
+    # two days behind the newest arrival: beyond the 12-hour watermark
+    _land(raw_df(spark, [dict(id=2, city="Paris", time="2026-01-01 00:00:00",
+                              inserted_at="2026-01-01 00:10:00")]), landing)
+    # within the delay: kept
+    _land(raw_df(spark, [dict(id=3, city="Tokyo", time="2026-01-02 20:00:00",
+                              inserted_at="2026-01-02 20:10:00")]), landing)
+    q = run_windowed_latest(read_landing(spark, landing, RAW, max_files_per_trigger=1),
+                            target, ckpt)
+    q.awaitTermination(600)
+    assert ids(read_latest(spark, target)) == [1, 3]
