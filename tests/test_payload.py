@@ -56,3 +56,12 @@ def test_bulk_read_of_landed_documents(spark, tmp_path):
     temps = sorted(r.temperature for r in payload_rows(df).collect())
     assert temps == [6.0, 7.0]
     assert df.select("current.air_quality.`us-epa-index`").count() == 2
+
+
+def test_normalize_to_utc_subtracts_offset(spark):
+    df = spark.createDataFrame([(doc(),)], "payload STRING")
+    parsed = parse_payload(df, "payload")
+    kept = payload_rows(parsed, "payload").first()
+    utc = payload_rows(parsed, "payload", normalize_to_utc=True).first()
+    assert str(kept.time) == "2026-04-03 09:14:00"
+    assert str(utc.time) == "2026-04-03 13:14:00"  # offset -4.0

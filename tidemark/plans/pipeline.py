@@ -45,9 +45,10 @@ def load_forecasts(raw: DataFrame, batch: DataFrame, id_base: int, inserted_at=N
 
 
 def load_observations(parsed_payloads: DataFrame, id_base: int, text_col: str | None = None,
-                      inserted_at=None) -> tuple[DataFrame, DataFrame]:
+                      inserted_at=None, normalize_to_utc: bool = False
+                      ) -> tuple[DataFrame, DataFrame]:
     """(raw rows, rejected rows) for a set of parsed reading documents."""
-    rows = payload_rows(parsed_payloads, text_col)
+    rows = payload_rows(parsed_payloads, text_col, normalize_to_utc=normalize_to_utc)
     good, bad = split_rejects(rows)
     if inserted_at is not None:
         good = good.withColumn("inserted_at", F.lit(str(inserted_at)).cast("timestamp_ntz"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col
+from tidemark.functions.timeshift import offset_seconds, seconds_interval
 from tidemark.schemas import PAYLOAD_DDL
 
 REQUIRED = ["city", "time", "utc_offset", "temperature", "wind_speed"]
@@ -47,12 +48,26 @@ def _default_when_missing(field: str, text_col: str | None) -> Column:
     return F.when(present, value).otherwise(F.lit(0.0))
 
 
-def payload_rows(df: DataFrame, text_col: str | None = None, keep=()) -> DataFrame:
+def _slot_time(normalize_to_utc: bool) -> Column:
+    local = F.try_to_timestamp(F.col("location.localtime"), F.lit("yyyy-MM-dd HH:mm")) \
+        .cast("timestamp_ntz")
+    if not normalize_to_utc:
+        return local
+    return local - seconds_interval(offset_seconds(F.col("location.utc_offset")))
+
+
+def payload_rows(df: DataFrame, text_col: str | None = None, keep=(),
+                 normalize_to_utc: bool = False) -> DataFrame:
     """Flatten parsed payloads to the raw columns (no id, no ``inserted_at``).
 
     ``text_col`` names the original JSON text; given, missing-key defaults are
     exact (absent -> 0, explicit null -> NULL); otherwise NULL also becomes 0.
     ``keep`` names input columns passed through in front.
+
+    The document's ``localtime`` is already local. By default it is stored
+    as is in ``time`` (so staging shifts it a second time, as the source
+    pipeline does); ``normalize_to_utc=True`` subtracts the offset instead, so
+    ``time`` holds UTC like the forecast rows.
     """
     if text_col is not None:
         # the keys of ``current`` are listed once per document, for every default
@@ -66,8 +81,7 @@ def payload_rows(df: DataFrame, text_col: str | None = None, keep=()) -> DataFra
         F.col("current.wind_speed").cast("double").alias("wind_speed"),
         _default_when_missing("humidity", text_col).cast("double").alias("humidity"),
         _default_when_missing("pressure", text_col).cast("double").alias("pressure"),
-        F.try_to_timestamp(F.col("location.localtime"), F.lit("yyyy-MM-dd HH:mm"))
-        .cast("timestamp_ntz").alias("time"),
+        _slot_time(normalize_to_utc).alias("time"),
         F.col("location.utc_offset").alias("utc_offset"),
         F.lit(False).alias("is_forecast"),
     )
