@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF001, raw_df
 from tidemark.plans.catalog import AS_OF
 from tidemark.plans.marts import daily_average
-from tidemark.plans.pipeline import forecast_batch_from_raw, load_forecasts, load_observations, refresh
+from tidemark.plans.runs import forecast_batch_from_raw, load_forecasts, load_observations, refresh
 from tidemark.plans.staging import staging
 from tidemark.session import scratch_path
 from tidemark.sources.payload import parse_payload

@@ -19,7 +19,7 @@ from tidemark.operators.dedup import first_per_key, latest_by_aggregate, latest_
 from tidemark.operators.retention import retain
 from tidemark.operators.rollup import count_rows, daily_min_max
 from tidemark.plans.marts import daily_average, daily_sorted, report, report_sorted
-from tidemark.plans.pipeline import forecast_batch_from_raw, load_forecasts, refresh
+from tidemark.plans.runs import forecast_batch_from_raw, load_forecasts, refresh
 from tidemark.plans.staging import legacy_staging, staging, staging_sorted, with_local_time
 from tidemark.schemas import (
     DAILY_COLUMNS, LEGACY_TOP_K, RAW_COLUMNS, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
@@ -302,7 +302,7 @@ def q_forecast_load(spark, sf):
     return spark.read.parquet(path).select(*RAW_COLUMNS)
 
 
-def q_pipeline_daily(spark, sf):
+def q_full_refresh_daily(spark, sf):
     """Full refresh written to tables; the daily table read back."""
     out = scratch_path(spark, "refresh")
     paths = refresh(spark, _raw(spark, sf), out, as_of=AS_OF)
@@ -458,7 +458,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "props_extract": q_props_extract,
     "surrogate_id": q_surrogate_id,
     "forecast_load": q_forecast_load,
-    "pipeline_daily": q_pipeline_daily,
+    "full_refresh_daily": q_full_refresh_daily,
     "star_join_distinct": q_star_join_distinct,
     "bridge_join_count": q_bridge_join_count,
     "count_distinct_by_key": q_count_distinct_by_key,

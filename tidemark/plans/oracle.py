@@ -297,7 +297,7 @@ SELECT (SELECT max(id) FROM raw) + row_number() OVER (ORDER BY city, time) AS id
        city, temperature, weather_description, wind_speed, humidity, pressure, time,
        TIMESTAMP '{C.AS_OF}' AS inserted_at, utc_offset, TRUE AS is_forecast
 FROM spine_m""",
-    "pipeline_daily": f"{BASE} SELECT * FROM daily",
+    "full_refresh_daily": f"{BASE} SELECT * FROM daily",
     "star_join_distinct": f"""
 SELECT DISTINCT l.l_orderkey
 FROM lineitem l
