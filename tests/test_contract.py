@@ -29,11 +29,16 @@ def test_entry_flagship(spark):
     assert df.count() == 275
 
 
+def own_queries():
+    """The library's own queries; corpus queries have tests of their own."""
+    return sorted(set(contract.queries()) - set(contract._corpus()[0]))
+
+
 def test_every_query_has_an_oracle():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(own_queries()) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", own_queries())
 def test_query_matches_oracle(spark, duck, name):
     got = contract.queries()[name](spark, SF001).toPandas()
     want = duck.execute(contract.oracle_sql()[name]).df()
