@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, quality, simhash, toxicity, url_filter
+from tidemark.llm import decontaminate, line_align, mixing, quality, simhash, suffix_dedup, toxicity, url_filter
 from tidemark.llm.common import crc_rest, table
 
 QUALITY_FROM = 0.3
@@ -47,6 +47,15 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that every document loses to earlier ones, and a digest of what stays."""
+    kept = line_align.dedup_lines(table(spark, sf_dir, "documents"), gone_col="deleted_lines")
+    return kept.select(
+        "doc_id", F.coalesce(F.size("deleted_lines"), F.lit(0)).alias("n_deleted"),
+        F.coalesce("deleted_lines", F.array().cast("array<int>")).alias("deleted_lines"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -59,12 +68,26 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that every document loses to strings of 400 bytes that start more than once."""
+    return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed occurrences of benchmark items in documents."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
     "op5_toxicity": op5_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
     "op8_mixing": op8_mixing,
+    "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE_SQL: dict[str, str] = {
