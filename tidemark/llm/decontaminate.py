@@ -196,60 +196,90 @@ def index_rows(items: DataFrame, id_col: str, text_col: str,
         .alias("impacts"), F.pmod(F.xxhash64("row"), F.lit(slices)).alias("slice"))), slices
 
 
+def find_hits(offsets: np.ndarray, flat: np.ndarray, classes: list[LengthClass],
+              overlap: float) -> dict[tuple[int, int], tuple]:
+    """(row, item row) -> (item, score, overlaps) of the confirmed hits of token rows."""
+    most = max([x.blocks / x.size for x in classes], default=1.0)
+    out: dict = {}
+    for lo, hi in row_blocks(offsets, max(20_000, min(500_000, int(8e6 / most)))):
+        ends, part = offsets[lo:hi + 1] - offsets[lo], flat[offsets[lo]:offsets[hi]]
+        for c in classes:
+            for r, start in c.passages(ends, part):
+                window = part[start:min(start + 2 * c.size, int(ends[r + 1]))]
+                for n, score in c.search(np.unique(window).tolist()):
+                    got = [share(window, s) for s in c.shingles[n]]
+                    if got[0] >= overlap and got[1] > 0 and got[2] > 0:
+                        key = (lo + r, c.items[n]["row"])
+                        row = (c.items[n]["item"], score, *got)
+                        out[key] = max(out.get(key, row), row)
+    return out
+
+
+def item_slices(items: DataFrame, item_col: str, text_col: str, answer_col: str | None):
+    """Broadcast slices of the index: items by length class, bounded in words each."""
+    index, slices = index_rows(items, item_col, text_col, answer_col)
+    for k in range(slices):
+        by_size: dict[int, list[dict]] = {}
+        for r in index.where(F.col("slice") == k).drop("slice").orderBy("item", "row").collect():
+            size = 1 << max(3, int(len(r["all"]) - 1).bit_length())
+            by_size.setdefault(size, []).append(r.asDict())
+        yield items.sparkSession.sparkContext.broadcast(by_size)
+
+
 def contaminated(docs: DataFrame, items: DataFrame, *, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                  answer_col: str | None = None, threshold: float = THRESHOLD,
                  overlap: float = OVERLAP, shingle: int = SHINGLE) -> DataFrame:
     """Confirmed hits: id, item_id, score, overlap, question_overlap, answer_overlap."""
-    index, slices = index_rows(items, item_col, item_text_col, answer_col)
-    schema = ("id long, item_id long, score double, overlap double, question_overlap double, "
-              "answer_overlap double")
-    parts = []
-    for k in range(slices):
-        rows = [r.asDict() for r in
-                index.where(F.col("slice") == k).drop("slice").orderBy("item", "row").collect()]
-        by_size: dict[int, list[dict]] = {}
-        for r in rows:
-            by_size.setdefault(1 << max(3, int(len(r["all"]) - 1).bit_length()), []).append(r)
-        shared = docs.sparkSession.sparkContext.broadcast(by_size)
-        tokens = docs.select(F.col(id_col).cast("long").alias("id"),
-                             word_hashes(F.col(text_col)).alias("t"))
+    names = ["id", "item_id", "score", "overlap", "question_overlap", "answer_overlap"]
+    schema = ", ".join(f"{c} {'long' if c.endswith('id') else 'double'}" for c in names)
+    found = None
+    for shared in item_slices(items, item_col, item_text_col, answer_col):
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             classes = [LengthClass(x, size, threshold, shingle)
                        for size, x in sorted(shared.value.items())]
-            most = max([x.blocks / x.size for x in classes], default=1.0)
             for batch in batches:
                 offsets, flat = list_parts(batch.column(1))
-                flat = flat.to_numpy(zero_copy_only=False)
-                out: dict = {}
-                for lo, hi in row_blocks(offsets, max(20_000, min(500_000, int(8e6 / most)))):
-                    part = flat[offsets[lo]:offsets[hi]]
-                    for c in classes:
-                        for r, start in c.passages(offsets[lo:hi + 1] - offsets[lo], part):
-                            end = min(start + 2 * c.size, int(offsets[lo + r + 1] - offsets[lo]))
-                            window = part[start:end]
-                            for n, score in c.search(np.unique(window).tolist()):
-                                got = [share(window, s) for s in c.shingles[n]]
-                                if got[0] >= overlap and got[1] > 0 and got[2] > 0:
-                                    key = (lo + r, c.items[n]["row"])
-                                    row = (c.items[n]["item"], score, *got)
-                                    out[key] = max(out.get(key, row), row)
-                at = [r for r, _ in out]
+                out = find_hits(offsets, flat.to_numpy(zero_copy_only=False), classes, overlap)
+                at = pa.array([r for r, _ in out], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(at, pa.int64())),
-                     pa.array([v[0] for v in out.values()], pa.int64()),
+                    [batch.column(0).take(at), pa.array([v[0] for v in out.values()], pa.int64()),
                      *[pa.array([v[j] for v in out.values()], pa.float64()) for j in range(1, 5)]],
-                    names=["id", "item_id", "score", "overlap", "question_overlap",
-                           "answer_overlap"])
+                    names=names)
 
-        parts.append(tokens.mapInArrow(scan, schema))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
+        part = docs.select(F.col(id_col).cast("long").alias("id"),
+                           word_hashes(F.col(text_col)).alias("t")).mapInArrow(scan, schema)
+        found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("id", id_col)
 
 
+def clean(docs: DataFrame, items: DataFrame, *, text_col: str = "text", item_col: str = "item_id",
+          item_text_col: str = "text", answer_col: str | None = None,
+          threshold: float = THRESHOLD, overlap: float = OVERLAP,
+          shingle: int = SHINGLE) -> DataFrame:
+    """Rows of ``docs``, all columns, in which no item is confirmed."""
+    schema = docs.schema
+    for shared in item_slices(items, item_col, item_text_col, answer_col):
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            classes = [LengthClass(x, size, threshold, shingle)
+                       for size, x in sorted(shared.value.items())]
+            for batch in batches:
+                offsets, flat = list_parts(batch.column(batch.num_columns - 1))
+                keep = np.ones(batch.num_rows, dtype=bool)
+                for r, _ in find_hits(offsets, flat.to_numpy(zero_copy_only=False), classes,
+                                      overlap):
+                    keep[r] = False
+                rest = pa.RecordBatch.from_arrays(batch.columns[:-1],
+                                                  names=batch.schema.names[:-1])
+                yield rest.filter(pa.array(keep))
+
+        docs = docs.select("*", word_hashes(F.col(text_col)).alias("__words")) \
+            .mapInArrow(scan, schema)
+    return docs
+
+
 def share(window: np.ndarray, wanted: set[bytes]) -> float:
     """Share of an item's shingles that occur in the window."""
     if not wanted:

@@ -116,28 +116,48 @@ def fit(sample: DataFrame, learner, bits: int) -> tuple[np.ndarray, float]:
     return np.frombuffer(rows[0]["w"], dtype="<f4"), rows[0]["b"]
 
 
+def dots(offsets: np.ndarray, tokens: np.ndarray, w: np.ndarray, bits: int) -> np.ndarray:
+    """Sparse dot product of each token row with the weights."""
+    out = np.zeros(len(offsets) - 1)
+    for lo, hi in row_blocks(offsets):
+        ptr, i, v = sparse_ngrams(offsets[lo:hi + 1] - offsets[lo],
+                                  tokens[offsets[lo]:offsets[hi]], bits)
+        owner = np.repeat(np.arange(hi - lo), np.diff(ptr))
+        out[lo:hi] = np.bincount(owner, w[i] * v, minlength=hi - lo)
+    return out
+
+
 def score(df: DataFrame, text: Column, keep: list[Column], model, bits: int,
           schema: str) -> DataFrame:
-    """Sparse dot products of every row's whole text with a broadcast model.
+    """Score every row's whole text with a broadcast model.
 
     Returns the ``keep`` columns (described by ``schema``) and ``score`` in (0, 1).
     """
-    weights, bias = model
-    shared = df.sparkSession.sparkContext.broadcast((weights, bias))
+    shared = df.sparkSession.sparkContext.broadcast(model)
     rows = df.select(*keep, hashed_tokens(text).alias("__tokens"))
 
-    def dot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w, b = shared.value
+        for batch in batches:
+            offsets, tokens = list_parts(batch.column(batch.num_columns - 1))
+            z = dots(offsets, tokens.to_numpy(zero_copy_only=False), w, bits) + b
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sigmoid(z))],
+                                             names=[*batch.schema.names[:-1], "score"])
+
+    return rows.mapInArrow(run, f"{schema}, score double")
+
+
+def keep_scored(df: DataFrame, text: Column, model, bits: int, least: float) -> DataFrame:
+    """Rows of ``df`` that score at least ``least``; columns are told apart by position."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    rows = df.select("*", hashed_tokens(text).alias("__tokens"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, b = shared.value
         for batch in batches:
             offsets, tokens = list_parts(batch.column(batch.num_columns - 1))
-            tokens = tokens.to_numpy(zero_copy_only=False)
-            out = np.zeros(batch.num_rows)
-            for lo, hi in row_blocks(offsets):
-                ptr, i, v = sparse_ngrams(offsets[lo:hi + 1] - offsets[lo],
-                                          tokens[offsets[lo]:offsets[hi]], bits)
-                owner = np.repeat(np.arange(hi - lo), np.diff(ptr))
-                out[lo:hi] = np.bincount(owner, w[i] * v, minlength=hi - lo)
-            cols = [*batch.columns[:-1], pa.array(sigmoid(out + b))]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:-1], "score"])
-
-    return rows.mapInArrow(dot, f"{schema}, score double")
+            z = dots(offsets, tokens.to_numpy(zero_copy_only=False), w, bits) + b
+            rest = pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1])
+            yield rest.filter(pa.array(sigmoid(z) >= least))
+
+    return rows.mapInArrow(run, df.schema)

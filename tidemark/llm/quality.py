@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_sample, hashed_tokens
-from tidemark.llm.linear import fit, ftrl, score
+from tidemark.llm.linear import fit, ftrl, keep_scored, score
 
 BITS = 18
 MAX_LABELLED = 12_000
@@ -54,3 +54,9 @@ def score_quality(docs: DataFrame, model, keep: list[Column], schema: str, *,
                   text_col: str = "text", bits: int = BITS) -> DataFrame:
     """``keep`` columns (types in ``schema``) and the quality score of each whole text."""
     return score(docs, F.col(text_col), keep, model, bits, schema)
+
+
+def accepted(docs: DataFrame, model, least: float, *, text_col: str = "text",
+             bits: int = BITS) -> DataFrame:
+    """Rows of ``docs``, all columns, whose text scores at least ``least``."""
+    return keep_scored(docs, F.col(text_col), model, bits, least)

@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_align, mixing, quality, simhash, suffix_dedup, toxicity, url_filter
-from tidemark.llm.common import crc_rest, table
+from tidemark.llm import (
+    ann,
+    decontaminate,
+    line_align,
+    mixing,
+    quality,
+    simhash,
+    suffix_dedup,
+    token_rollup,
+    toxicity,
+    url_filter,
+)
+from tidemark.llm.common import crc_rest, cut, table
+from tidemark.session import scratch_path
 
 QUALITY_FROM = 0.3
 TOXIC_FROM = 0.7
@@ -22,6 +34,42 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("predicted", (F.col("score") >= QUALITY_FROM).cast("int"))
 
 
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest vectors found for every 50th vector id."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after inserts of all documents, removals, revisions and a replay.
+
+    Every document is inserted under two tokenizer versions. Documents labelled toxic are
+    then deleted, and documents labelled as poor have their word count revised to the
+    count of letter/digit runs. The deletions are sent twice; the second time adds nothing.
+    """
+    labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", token_rollup.count_words(F.col("text")).alias("words"),
+        token_rollup.count_runs(F.col("text")).alias("runs"))
+    docs = cut(docs.join(labels, "doc_id", "left"))
+    words, runs = F.lit("words-1"), F.lit("runs-1")
+    each = F.explode(F.array(F.struct(words.alias("tokenizer_version"), F.col("words").alias("tokens")),
+                             F.struct(runs.alias("tokenizer_version"), F.col("runs").alias("tokens"))))
+    both = docs.withColumn("x", each).select("source", "lang", "x.*", "toxic", "quality")
+    blank = F.lit(None).cast("long").alias("old_tokens")
+    inserted = both.select(F.lit("insert").alias("op"), *token_rollup.KEYS, "tokens", blank)
+    deleted = both.where("toxic = 1").select(
+        F.lit("delete").alias("op"), *token_rollup.KEYS, "tokens", blank)
+    revised = docs.where("quality = 0 and coalesce(toxic, 0) != 1").select(
+        F.lit("revise").alias("op"), "source", "lang", words.alias("tokenizer_version"),
+        F.col("runs").alias("tokens"), F.col("words").alias("old_tokens"))
+    root = scratch_path(spark, "token-rollup")
+    for batch, changes in (("1-insert", inserted), ("2-delete", deleted), ("3-revise", revised),
+                           ("2-delete", deleted)):
+        token_rollup.commit(spark, root, batch, changes)
+    return token_rollup.totals(spark, root)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document; learnt from rows outside the held-out fold."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -82,6 +130,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_url_filter": op2_url_filter,
+    "op3_nearest": op3_nearest,
+    "op4_token_counts": op4_token_counts,
     "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_simhash": op7_simhash,
@@ -91,6 +141,25 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_token_counts": r"""
+        WITH l AS (
+            SELECT doc_id, max(toxic) AS toxic, min(quality) AS quality FROM labels GROUP BY doc_id
+        ), d AS (
+            SELECT source, lang, coalesce(toxic, 0) AS toxic, coalesce(quality, 1) AS quality,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+                   len(regexp_extract_all(coalesce(text, ''), '[\p{L}\p{N}]+')) AS runs
+            FROM documents LEFT JOIN l USING (doc_id)
+        ), kept AS (
+            SELECT source, lang, 'words-1' AS tokenizer_version,
+                   CASE WHEN quality = 0 THEN runs ELSE words END AS tokens
+            FROM d WHERE toxic <> 1
+            UNION ALL
+            SELECT source, lang, 'runs-1', runs FROM d WHERE toxic <> 1
+        )
+        SELECT source, lang, tokenizer_version, count(*) AS documents,
+               CAST(sum(tokens) AS BIGINT) AS tokens
+        FROM kept GROUP BY source, lang, tokenizer_version
+    """,
     "op2_url_filter": r"""
         WITH parts AS (
             SELECT page_id,

@@ -64,17 +64,18 @@ def fingerprint(data: bytes | None, shingle: int) -> int:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) with fp as a signed long, one row per document."""
+    """(id, th, fp) per document: th is a hash of the text, fp the signed fingerprint."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
+                       F.xxhash64(F.col(text_col)).alias("th"),
                        F.col(text_col).cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(1)], dtype="<u8")
+            fps = np.array([fingerprint(x.as_py(), shingle) for x in batch.column(2)], dtype="<u8")
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fps.view("<i8"))], names=["id", "fp"])
+                [*batch.columns[:2], pa.array(fps.view("<i8"))], names=["id", "th", "fp"])
 
-    return rows.mapInArrow(run, "id long, fp long")
+    return rows.mapInArrow(run, "id long, th long, fp long")
 
 
 def distance(values: np.ndarray, one) -> np.ndarray:
@@ -202,8 +203,8 @@ def links(distinct: DataFrame, *, bits: int = MAX_BITS, shard: int = SHARD, bloc
 
 def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
-    """One row per document: id, fp (long), class_fp (a fingerprint naming the component)
-    and component_id (smallest id in the component)."""
+    """One row per document: id, th (hash of the text), fp (long), class_fp (a fingerprint
+    naming the component) and component_id (smallest id in the component)."""
     rows = cut(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle))
     classes = cut(rows.groupBy("fp").agg(F.min("id").alias("least"),
                                          F.count(F.lit(1)).alias("n")))
@@ -217,10 +218,36 @@ def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     named = cut(named.drop("least").join(least, "class_fp"))
     out = rows.join(named.withColumnRenamed("fp", "n_fp"), F.col("fp") == F.col("n_fp"), "left")
     return out.select(
-        F.col("id").alias(id_col), "fp", F.coalesce("class_fp", "fp").alias("class_fp"),
+        F.col("id").alias(id_col), "th", "fp", F.coalesce("class_fp", "fp").alias("class_fp"),
         F.when(F.col("n_fp").isNull(), F.col("id")).otherwise(F.col("component_id"))
         .alias("component_id"))
 
 
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
+    """Rows of ``docs``, all columns: of each component the one with the smallest id (null
+    ids last), then the smallest hash of the text."""
+    last = F.lit((1 << 63) - 1)
+    groups = near_groups(docs, id_col=id_col, text_col=text_col, shingle=shingle, bits=bits)
+    keys = cut(groups.select(F.coalesce(F.col(id_col), last).alias("__kid"),
+                             F.col("th").alias("__kth"), "class_fp"))
+    rows = keys.groupBy("class_fp", "__kid", "__kth").agg(F.count(F.lit(1)).alias("n"))
+    heads = cut(rows.groupBy("class_fp").agg(
+        F.min(F.struct("__kid", "__kth", "n")).alias("head"),
+        F.sum("n").alias("all")).where(F.col("all") > 1))
+    others = keys.join(heads, "class_fp").where(
+        F.struct("__kid", "__kth") != F.struct("head.__kid", "head.__kth")) \
+        .select("__kid", "__kth").distinct()
+    same = (F.coalesce(F.col(id_col).cast("long"), last) == F.col("__kid")) \
+        & (F.xxhash64(F.col(text_col)) == F.col("__kth"))
+    kept = docs.join(cut(others), same, "left_anti")
+    # Heads that occur in several equal rows: one of them stays.
+    again = heads.where("head.n > 1").select("head.__kid", "head.__kth")
+    if again.isEmpty():
+        return kept
+    return kept.join(again, same, "left_anti").unionByName(
+        kept.join(again, same, "left_semi").dropDuplicates([id_col, text_col]))
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
