@@ -11,9 +11,10 @@ from tidemark.llm.common import cut
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (columns a, b); root is one node of the component.
 
-    Each round points every node at its smallest neighbour and contracts the edges, so the
-    node count at least halves every other round. The minima combine before the shuffle; a
-    node with very many edges costs one row per task there. Null ends are ignored.
+    Each round points every node at its smallest neighbour if that is smaller, follows the
+    pointers to their ends by doubling, and contracts the edges to the ends; these are
+    local minima, so the node count at least halves. The minima combine before the shuffle,
+    and a node with very many edges costs one row per task there. Null ends are ignored.
     """
     edges = cut(edges.where("a != b").select("a", "b").distinct())
     maps: list[DataFrame] = []
@@ -21,6 +22,14 @@ def components(edges: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         to = cut(both.groupBy(F.col("a").alias("node"))
                  .agg(F.least(F.min("b"), F.first("a")).alias("root")))
+        while True:
+            ends = to.select(F.col("node").alias("via"), F.col("root").alias("end"))
+            far = cut(to.join(ends, to["root"] == ends["via"])
+                      .select("node", F.col("end").alias("root"),
+                              (F.col("end") != F.col("root")).alias("moved")))
+            to = far.select("node", "root")
+            if far.where("moved").isEmpty():
+                break
         maps.append(to)
         left = to.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         right = to.select(F.col("node").alias("b"), F.col("root").alias("rb"))
@@ -33,6 +42,6 @@ def components(edges: DataFrame) -> DataFrame:
     final = maps[-1]
     for earlier in reversed(maps[:-1]):
         step = final.select(F.col("node").alias("via"), F.col("root").alias("end"))
-        final = earlier.join(step, earlier["root"] == step["via"], "left") \
-            .select("node", F.coalesce("end", "root").alias("root"))
-    return cut(final)
+        final = cut(earlier.join(step, earlier["root"] == step["via"], "left")
+                    .select("node", F.coalesce("end", "root").alias("root")))
+    return final
