@@ -37,7 +37,7 @@ from tidemark.llm.common import cut
 LENGTH = 400
 MANY = 20_000  # different runs in a bucket, beyond which windows are compared one by one
 LOT_BYTES = 8 << 20
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 LAST_ID = (1 << 63) - 1
 
 
