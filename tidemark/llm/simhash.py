@@ -34,9 +34,9 @@ from tidemark.llm.components import components
 SHINGLE = 3
 MAX_BITS = 3
 SAMPLE = 50_000
-SHARD = 12_000
-BLOCK = 24_000
-SMALL = 512
+SHARD = 40_000
+BLOCK = 96_000
+SMALL = 2_048
 
 
 def fingerprint(data: bytes | None, shingle: int) -> int:
@@ -90,12 +90,11 @@ def best_split(values: np.ndarray, bits: int, rng):
         inner = np.cumsum(counts)[:64]
         band = np.array([counts[max(0, mu - bits + 1):mu + 1].sum() for mu in range(64)])
         outer = n - inner + band
-        # Recursing costs about the size to the power 1.4.
-        cost = inner.astype(float) ** 1.4 + outer.astype(float) ** 1.4
+        cost = inner.astype(float) ** 2 + outer.astype(float) ** 2  # pairs left to compare
         mu = int(np.argmin(cost))
         if inner[mu] and (best is None or cost[mu] < best[0]):
-            best = (cost[mu], v, mu, max(inner[mu], outer[mu]))
-    if best is None or best[3] > 0.9 * n:
+            best = (cost[mu], v, mu)
+    if best is None or best[0] > 0.95 * n * n:
         return None
     return best[1], best[2]
 
