@@ -56,6 +56,6 @@ def test_quality_suite_one_shuffle_per_table(spark):
 
 
 def test_no_python_udfs_anywhere(spark):
-    for name in ("staging", "daily_average", "payload_extract", "spine_measures", "dq_suite"):
+    for name in ("staging", "daily_average", "payload_extract", "hourly_spine", "dq_suite"):
         text = plan(q(spark, name))
         assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text

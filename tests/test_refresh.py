@@ -1,13 +1,16 @@
 """End-to-end: observation load (documents -> raw rows) and the written refresh."""
 
+import datetime as dt
 import json
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF001, raw_df
 from tidemark.plans.catalog import AS_OF
 from tidemark.plans.marts import daily_average
-from tidemark.plans.runs import forecast_batch_from_raw, load_forecasts, load_observations, refresh
+from tidemark.plans.runs import forecast_slots, load_observations, refresh
 from tidemark.plans.staging import staging
 from tidemark.session import scratch_path
 from tidemark.sources.payload import parse_payload
@@ -30,17 +33,43 @@ def test_observation_load_assigns_ids_after_base_and_rejects(spark):
     assert [r.city for r in rejected.collect()] == ["Oslo"]
 
 
-def test_forecast_batch_shape(spark):
-    raw = raw_df(spark, [dict(id=1, city="Tokyo", utc_offset="+9", inserted_at="2026-01-01 10:42:00")])
-    batch = load_forecasts(raw, forecast_batch_from_raw(raw, days_ahead=2), id_base=1,
-                           inserted_at="2026-01-01 10:42:00")
-    rows = batch.orderBy("id").collect()
-    assert len(rows) == 48 and rows[0].id == 2 and rows[-1].id == 49
+def test_forecast_slots_one_row_per_city(spark):
+    raw = raw_df(spark, [
+        dict(id=1, city="Tokyo", utc_offset="+9", inserted_at="2026-01-01 09:42:00"),
+        dict(id=2, city="Tokyo", utc_offset="+9.0", inserted_at="2026-01-01 10:42:00")])
+    rows = forecast_slots(raw, days_ahead=2).orderBy("time").collect()
+    assert len(rows) == 48 and {r.utc_offset for r in rows} == {"+9.0"}
     assert str(rows[0].time) == "2026-01-01 10:00:00" and str(rows[-1].time) == "2026-01-03 09:00:00"
-    assert all(-5 <= r.temperature < 35 and 1000 <= r.pressure < 1025 for r in rows)
-    again = load_forecasts(raw, forecast_batch_from_raw(raw, days_ahead=2), id_base=1,
-                           inserted_at="2026-01-01 10:42:00").orderBy("id").collect()
-    assert rows == again  # seeded, so a recomputation reproduces it
+
+
+def test_second_refresh_replaces_the_first(spark):
+    raw = observations(spark, SF001)
+    out = scratch_path(spark, "refresh-twice")
+    refresh(spark, raw, out, as_of="2024-01-05 12:00:00")
+    paths = refresh(spark, raw, out, as_of=AS_OF)
+    want = daily_average(staging(raw, as_of=AS_OF))
+    got = spark.read.parquet(paths["daily_average"])
+    assert got.count() == want.count()
+    assert got.select(want.columns).exceptAll(want).count() == 0
+
+
+def test_failed_checks_fail_the_refresh_when_asked(spark):
+    raw = observations(spark, SF001)
+    with pytest.raises(RuntimeError, match="quality checks failed"):
+        refresh(spark, raw, scratch_path(spark, "refresh-gate"), as_of=AS_OF, fail_on_checks=True)
+
+
+def test_wall_clock_staging_in_another_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        now = dt.datetime.now(dt.UTC).replace(tzinfo=None, microsecond=0)
+        rows = [dict(id=k, time=(now - dt.timedelta(hours=h)).isoformat(), is_forecast=False,
+                     utc_offset="+0") for k, h in ((1, 1), (2, 11), (3, 13), (4, 16))]
+        got = sorted(r.id for r in staging(raw_df(spark, rows)).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == [1, 2]
 
 
 def test_refresh_writes_all_models(spark):

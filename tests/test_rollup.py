@@ -40,3 +40,13 @@ def test_independent_of_partitioning(spark):
 def test_mixed_flags_give_one(spark):
     df = spark.createDataFrame([(1, True), (1, False)], "g INT, f BOOLEAN")
     assert df.groupBy("g").agg(F.max(F.col("f").cast("int")).alias("m")).first().m == 1
+
+
+def test_one_rounding_and_no_cut_of_inputs(spark):
+    assert mean_of(spark, [1.00496]) == 1.0
+    assert mean_of(spark, [-2.00497]) == -2.0
+    assert mean_of(spark, [1.00499999999]) == 1.0
+    assert mean_of(spark, [1.005, 1.0049999]) == 1.0
+    assert mean_of(spark, [1e14 + 0.5, 1e14]) == 1e14 + 0.25
+    assert mean_of(spark, [1e300, 1.0]) == 5e299
+    assert mean_of(spark, [1 / 3, -1 / 3, 0.0]) == 0.0

@@ -87,3 +87,29 @@ def test_watermarked_form_drops_rows_later_than_the_delay(spark):
                             target, ckpt)
     q.awaitTermination(600)
     assert ids(read_latest(spark, target)) == [1, 3]
+
+
+def test_merge_keeps_rows_without_slot_time(spark):
+    target = scratch_path(spark, "merge-null")
+    merge_latest(raw_df(spark, [dict(id=1, time=None), dict(id=2)]), target)
+    merge_latest(raw_df(spark, [dict(id=3, city="Paris", time=None)]), target)
+    assert ids(read_latest(spark, target)) == [1, 2, 3]
+
+
+def test_refresh_with_empty_first_batch_changed_and_null_offsets(spark):
+    stg_path, daily_path = scratch_path(spark, "ro"), scratch_path(spark, "rod")
+    as_of = "2026-01-02 00:00:00"
+    expired = [dict(id=1, time="2020-01-01 00:00:00", is_forecast=False, utc_offset="+0")]
+    first = [dict(id=2, city="Toronto", time="2026-01-02 02:00:00", utc_offset="-5"),
+             dict(id=3, city="Oslo", time="2026-01-02 02:00:00", utc_offset=None)]
+    second = [dict(id=4, city="Toronto", time="2026-01-02 02:00:00", utc_offset="+1.0",
+                   inserted_at="2026-01-01 05:00:00"),
+              dict(id=5, city="Rome", time=None, utc_offset="+1")]
+    seen = []
+    for rows in (expired, first, second):
+        refresh_batch(raw_df(spark, rows), stg_path, daily_path, as_of=as_of)
+        seen += rows
+    want = daily_average(staging(raw_df(spark, seen), as_of=as_of))
+    got = spark.read.parquet(daily_path).select(want.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.count() == 3

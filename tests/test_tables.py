@@ -1,7 +1,9 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_dir, scratch_path
 from tidemark.sources import tables as tb
 from tidemark.sources.ids import assign_ids
 
@@ -56,3 +58,65 @@ def test_create_table_defaults_and_append(spark, tmp_path):
     out = spark.table(name).orderBy("id").collect()
     assert [r.id for r in out] == [1, 2] and out[1].is_forecast is True
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_ids_are_distinct_without_exchange_reuse_and_with_a_hot_key(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        df = spark.range(0, 20000).select(
+            F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 7).alias("x"),
+            F.col("id").alias("y"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+        out = assign_ids(df, ["x"], "sid", num_partitions=6).cache()
+        assert out.select("sid").distinct().count() == 20000
+        assert out.agg(F.min("sid"), F.max("sid")).first() == (1, 20000)
+        wrong = out.alias("a").join(out.alias("b"), F.col("a.sid") + 1 == F.col("b.sid")) \
+            .filter("a.x > b.x or (a.x is not null and b.x is null)")
+        assert wrong.count() == 0
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+
+
+def test_null_keys_never_conflict_and_duplicates_are_reduced(spark):
+    target = kv(spark, [(1, "a"), (None, "n")])
+    incoming = kv(spark, [(None, "p"), (None, "p"), (1, "b"), (1, "c"), (2, "d")])
+    for got, one in ((tb.insert_if_absent(target, incoming, ["k"]), "a"),
+                     (tb.upsert(target, incoming, ["k"]), "c")):
+        assert sorted(map(str, map(tuple, got.collect()))) == sorted(
+            map(str, [(1, one), (2, "d"), (None, "n"), (None, "p"), (None, "p")]))
+
+
+def test_overwrite_commits_upsert_and_survives_a_failed_write(spark):
+    path = scratch_path(spark, "overwrite-test")
+    tb.overwrite(kv(spark, [(1, "a"), (2, "b")]), path)
+    table = spark.read.parquet(path)
+    tb.overwrite(tb.upsert(table, kv(spark, [(2, "B")]), ["k"]), path)  # reads what it replaces
+    assert as_set(spark.read.parquet(path)) == [(1, "a"), (2, "B")]
+    broken = spark.read.parquet(path).withColumn("v", F.raise_error(F.lit("boom")).cast("string"))
+    with pytest.raises(Exception, match="boom"):
+        tb.overwrite(broken, path)
+    assert as_set(spark.read.parquet(path)) == [(1, "a"), (2, "B")]
+
+
+def test_overwrite_drops_partitions_that_left_the_data(spark):
+    path = scratch_path(spark, "overwrite-parts")
+    tb.overwrite(kv(spark, [(1, "a"), (2, "b")]), path, ["k"])
+    tb.overwrite(kv(spark, [(2, "c")]), path, ["k"])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["c"]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())

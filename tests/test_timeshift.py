@@ -39,3 +39,11 @@ def test_hour_floor_keeps_ntz(spark):
     out = df.select(hour_floor("t").alias("h"))
     assert dict(out.dtypes)["h"] == "timestamp_ntz"
     assert out.first().h == dt.datetime(2024, 3, 10, 2, 0)
+
+
+def test_text_that_is_not_wholly_an_offset_gives_null(spark):
+    odd = ["+5x", "+5:30:15", "+530", "12345678", "+24", "-99", "5:60", "+", ":30", "--5", "+5:", "1e1"]
+    df = spark.createDataFrame([(o,) for o in odd], "o STRING")
+    assert [r.o for r in df.filter(offset_seconds("o").isNotNull()).collect()] == []
+    ok = spark.createDataFrame([("+23:59",), ("-0:30",)], "o STRING")
+    assert [int(r.s) for r in ok.select(offset_seconds("o").alias("s")).collect()] == [86340, -1800]

@@ -2,13 +2,14 @@
 
 ``round(avg(x)::numeric, 2)`` over doubles depends on summation order at
 half-cent ties, so two engines (or two runs with different partitioning) can
-disagree. Here every input is first rounded half away from zero to
-``input_scale`` decimals and held as an integer number of units; the sum of
-those integers is exact, and the mean is rounded half away from zero with an
-integer division. The result does not depend on partitioning.
-
-A group containing NaN or an infinity returns ``avg(x)`` (NaN or +-inf), as
-the double average does. NULL inputs are ignored; an all-NULL group gives NULL.
+disagree. Here every input is taken as the decimal number its shortest text
+form shows (16 decimals), the decimal sum is exact, and the mean is rounded
+half away from zero once, from quotient and remainder. The result does not
+depend on partitioning.
+
+A group with NaN, an infinity or a value of 1e15 or more, or whose sum leaves
+the decimal range, returns the double average (rounded where finite). NULL
+inputs are ignored; an all-NULL group gives NULL.
 """
 
 from __future__ import annotations
@@ -19,30 +20,28 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import quote
 
 
-def _units_sql(c: str, input_scale: int) -> str:
-    k = 10 ** input_scale
-    return (
-        f"CASE WHEN isnan({c}) OR abs({c}) = double('inf') THEN NULL "
-        f"WHEN {c} < 0 THEN -floor(-{c} * {k} + 0.5) "
-        f"ELSE floor({c} * {k} + 0.5) END"
-    )
+EXACT_BELOW = "1e15D"
 
 
-def rounded_mean_sql(name: str, scale: int = 2, input_scale: int = 4) -> str:
+def rounded_mean_sql(name: str, scale: int = 2) -> str:
     """Spark SQL aggregate expression text for the exact rounded mean."""
-    if input_scale < scale:
-        raise ValueError("input_scale must be >= scale")
+    if not 0 <= scale <= 2:
+        raise ValueError("scale must be 0, 1 or 2")
     c = quote(name)
-    units = _units_sql(c, input_scale)
-    step = 10 ** (input_scale - scale)
-    s = f"sum({units})"
-    n = f"count({units})"
-    q = f"((2 * abs({s}) + {n} * {step}) div (2 * {n} * {step}))"
-    exact = f"(CASE WHEN {s} < 0 THEN -{q} ELSE {q} END) / {float(10 ** scale)!r}"
-    bad = f"count_if({c} IS NOT NULL AND (isnan({c}) OR abs({c}) = double('inf')))"
-    return f"CASE WHEN {bad} > 0 THEN avg({c}) WHEN {n} = 0 THEN NULL ELSE {exact} END"
-
-
-def rounded_mean(name: str, scale: int = 2, input_scale: int = 4) -> Column:
+    outside = f"(isnan({c}) OR abs({c}) >= {EXACT_BELOW})"
+    d = f"CASE WHEN {outside} THEN NULL ELSE CAST({c} AS DECIMAL(34,16)) END"
+    n = f"count({d})"
+    shifted = f"(try_cast(abs(sum({d})) AS DECIMAL(34,16)) * {10 ** scale})"
+    whole = f"({shifted} div {n})"
+    used = f"CAST(CAST({whole} AS DECIMAL(20,0)) * CAST({n} AS DECIMAL(17,0)) AS DECIMAL(21,0))"
+    up = f"(CAST({shifted} AS DECIMAL(37,16)) - {used} >= CAST({n} AS DECIMAL(20,0)) * 0.5)"
+    q = f"({whole} + CAST({up} AS INT))"
+    signed = f"CAST(CASE WHEN sum({d}) < 0 THEN -{q} ELSE {q} END AS DECIMAL(20,0))"
+    exact = f"CAST({signed} * {('1', '0.1', '0.01')[scale]} AS DOUBLE)"
+    return (f"CASE WHEN count_if({c} IS NOT NULL AND {outside}) > 0 OR {shifted} IS NULL "
+            f"THEN round(avg({c}), {scale}) ELSE {exact} END")
+
+
+def rounded_mean(name: str, scale: int = 2) -> Column:
     """Aggregate column: mean of ``name`` rounded half away from zero, exactly."""
-    return F.expr(rounded_mean_sql(name, scale, input_scale)).cast("double")
+    return F.expr(rounded_mean_sql(name, scale)).cast("double")

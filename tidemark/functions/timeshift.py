@@ -4,7 +4,8 @@ UTC offsets arrive as text in several shapes (``+0``, ``-5``, ``+5:30``,
 ``-4.0``). Spark's ``CAST(.. AS INTERVAL)`` returns NULL for these silently, so
 the text is parsed once into a number of seconds and added with
 ``make_dt_interval``. The sign applies to the minutes too (``-3:30`` is minus
-three and a half hours). Unparseable text gives NULL.
+three and a half hours). The whole text must be an offset of less than a day;
+anything else gives NULL.
 """
 
 from __future__ import annotations
@@ -14,21 +15,22 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import as_col
 
-# Fixed patterns: leading signed decimal hours, optional ':minutes' tail.
-HOURS_PATTERN = r"^[+-]?([0-9]+([.][0-9]+)?)"
-MINUTES_PATTERN = r":([0-9]+)$"
+# Signed decimal hours with an optional ':minutes' tail, and nothing else.
+DAY_SECONDS = 86_400
+OFFSET_PATTERN = r"^[+-]?([0-9]{1,2}(?:[.][0-9]{1,9})?)(?::([0-5]?[0-9]))?$"
 
 
 def offset_seconds(offset_text) -> Column:
-    """Signed offset in seconds as ``decimal(18,4)``; NULL when not parseable."""
+    """Signed offset in seconds as ``decimal(18,6)``; NULL when not parseable."""
     text = F.trim(as_col(offset_text))
-    hours = F.nullif(F.regexp_extract(text, HOURS_PATTERN, 1), F.lit("")).cast("decimal(10,4)")
+    hours = F.nullif(F.regexp_extract(text, OFFSET_PATTERN, 1), F.lit("")).cast("decimal(11,9)")
     minutes = F.coalesce(
-        F.nullif(F.regexp_extract(text, MINUTES_PATTERN, 1), F.lit("")).cast("int"),
+        F.nullif(F.regexp_extract(text, OFFSET_PATTERN, 2), F.lit("")).cast("int"),
         F.lit(0),
     )
     sign = F.when(text.startswith("-"), F.lit(-1)).otherwise(F.lit(1))
-    return (sign * (hours * F.lit(3600) + minutes * F.lit(60))).cast("decimal(18,4)")
+    seconds = (sign * (hours * F.lit(3600) + minutes * F.lit(60))).cast("decimal(18,6)")
+    return F.when(F.abs(seconds) < F.lit(DAY_SECONDS), seconds)
 
 
 def seconds_interval(seconds) -> Column:

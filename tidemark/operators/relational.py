@@ -4,8 +4,7 @@ Join strategy is left to the planner: dimension sides are broadcast by the
 size check Spark applies (``spark.sql.autoBroadcastJoinThreshold`` against
 the plan's size estimate, and again by AQE on the runtime size after
 filtering); anything bigger is a shuffle join, with AQE splitting skewed
-partitions. An explicit ``broadcast`` hint is only used for sides whose size
-is fixed by definition (see ``fixed_dim``).
+partitions. No side read from a file carries a broadcast hint.
 """
 
 from __future__ import annotations
@@ -14,12 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fixed_dim(df: DataFrame) -> DataFrame:
-    """Mark a dimension whose row count is fixed by its definition (e.g. the
-    25 nations, 5 regions, 10 cities) for broadcast."""
-    return F.broadcast(df)
-
-
 # -- filters -------------------------------------------------------------------
 
 def in_list(df: DataFrame, column: str, values) -> DataFrame:

@@ -16,7 +16,6 @@ def daily_means(
     flag_col: str = "is_forecast",
     flag_alias: str = "has_forecast_data",
     scale: int = 2,
-    input_scale: int = 4,
 ) -> DataFrame:
     """Group by key and ``date(time_col)``; exact rounded means and an any-true flag.
 
@@ -29,7 +28,7 @@ def daily_means(
         "humidity": "avg_humidity",
         "pressure": "avg_pressure",
     }
-    aggs = [rounded_mean(src, scale, input_scale).alias(dst) for src, dst in measures.items()]
+    aggs = [rounded_mean(src, scale).alias(dst) for src, dst in measures.items()]
     aggs.append(F.max(F.col(flag_col).cast("int")).alias(flag_alias))
     return df.groupBy(F.col(key), F.to_date(F.col(time_col)).alias("date")).agg(*aggs)
 

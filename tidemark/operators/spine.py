@@ -1,18 +1,16 @@
-"""Hourly slot grids and deterministic seeded measures.
+"""Hourly slot grids.
 
 The grid is built per key row with ``explode(sequence(..))``: no cartesian
 product, and the work is spread over however many key rows there are.
-Measures are a pure function of (key, slot, measure name, seed), taken from an
-md5 prefix, so a rerun after a lost executor reproduces the same values.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timeshift import hour_floor
-from tidemark.schemas import FORECAST_DAYS_AHEAD, MEASURE_RANGES, WEATHER_DESCRIPTIONS
+from tidemark.schemas import FORECAST_DAYS_AHEAD
 
 
 def hourly_slots(
@@ -27,43 +25,10 @@ def hourly_slots(
     ).drop("_h")
 
 
-def latest_hour_per_key(raw: DataFrame, keys: list[str], time_col: str = "inserted_at") -> DataFrame:
-    """One row per key with the newest ``time_col``: where its forecast starts."""
-    return raw.groupBy(*keys).agg(F.max(time_col).alias("_start"))
-
-
-def hash32(*parts: Column) -> Column:
-    """Unsigned 32-bit value from the md5 of the parts joined by ``|``."""
-    text = F.concat_ws("|", *parts)
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
-
-
-def seeded_measure(key: Column, slot_text: Column, name: str, seed: int,
-                   low: float, high: float, decimals: int) -> Column:
-    """Uniform on the ``decimals`` grid over ``[low, high)``, from the hash."""
-    unit = 10 ** decimals
-    steps = int(round((high - low) * unit))
-    base = int(round(low * unit))
-    h = hash32(key, slot_text, F.lit(name), F.lit(str(seed)))
-    units = F.lit(base) + F.floor(h * F.lit(steps) / F.lit(2 ** 32)).cast("bigint")
-    return units / F.lit(float(unit))
-
-
-def seeded_choice(key: Column, slot_text: Column, name: str, seed: int, values: list[str]) -> Column:
-    h = hash32(key, slot_text, F.lit(name), F.lit(str(seed)))
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (h % F.lit(len(values)) + 1).cast("int"))
-
-
-def with_seeded_measures(
-    slots: DataFrame, key_col: str = "city", slot_col: str = "time", seed: int = 0
-) -> DataFrame:
-    """Add temperature, humidity, pressure, wind speed and a description."""
-    key = F.col(key_col)
-    slot_text = F.date_format(F.col(slot_col), "yyyy-MM-dd HH:mm")
-    out = slots
-    for name, (low, high, dec) in MEASURE_RANGES.items():
-        out = out.withColumn(name, seeded_measure(key, slot_text, name, seed, low, high, dec))
-    return out.withColumn(
-        "weather_description",
-        seeded_choice(key, slot_text, "weather_description", seed, WEATHER_DESCRIPTIONS),
-    )
+def latest_hour_per_key(raw: DataFrame, key: str = "city", time_col: str = "inserted_at",
+                        carry: str = "utc_offset") -> DataFrame:
+    """One row per key: its newest ``time_col``, where the grid starts, and the offset
+    text of the newest row."""
+    newest = F.max(F.struct(F.col(time_col), F.col(carry)))
+    return raw.groupBy(key).agg(newest.alias("_m")).select(
+        key, F.col(f"_m.{carry}").alias(carry), F.col(f"_m.{time_col}").alias("_start"))

@@ -19,7 +19,7 @@ from tidemark.operators.dedup import first_per_key, latest_by_aggregate, latest_
 from tidemark.operators.retention import retain
 from tidemark.operators.rollup import count_rows, daily_min_max
 from tidemark.plans.marts import daily_average, daily_sorted, report, report_sorted
-from tidemark.plans.runs import forecast_batch_from_raw, load_forecasts, refresh
+from tidemark.plans.runs import forecast_slots, refresh
 from tidemark.plans.staging import legacy_staging, staging, staging_sorted, with_local_time
 from tidemark.schemas import (
     DAILY_COLUMNS, LEGACY_TOP_K, RAW_COLUMNS, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
@@ -29,11 +29,12 @@ from tidemark.sources.ids import assign_ids
 from tidemark.sources.payload import parse_payload, payload_rows
 from tidemark.sources.raw import observations, read_table, scan_raw, scan_wildcard
 from tidemark.sources.tables import (
-    append, current_max_id, delete_where_equal, insert_if_absent, upsert,
+    delete_where_equal, insert_if_absent, upsert,
 )
 
 # Query parameters (mirrored in the oracle SQL).
 AS_OF = "2024-01-20 12:00:00"
+EARLIER_AS_OF = "2024-01-10 12:00:00"
 LEGACY_SMALL_K = 100
 TOP_LATEST_K = 10
 STAR_TYPES = ("ECONOMY", "SMALL", "PROMO")
@@ -49,7 +50,6 @@ EQUALS_STATUS = "P"
 TARGET_BEFORE = "1999-01-01"
 INCOMING_FROM = "1998-01-01"
 DELETE_PRIORITY = "1-URGENT"
-SEED = 0
 
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -72,6 +72,23 @@ def q_offset_parse(spark, sf):
                       offset_seconds("utc_offset").cast("double").alias("offset_seconds"))
 
 
+def q_offset_parse_odd(spark, sf):
+    """Offsets of every event, spoilt in a way that depends on its type."""
+    kind, offset = F.col("weather_description"), F.col("utc_offset")
+    odd = (F.when(kind == "error", F.concat(offset, F.lit("x")))
+           .when(kind == "signup", F.concat(offset, F.lit(":30:15")))
+           .when(kind == "purchase", F.lit("12345678"))
+           .when(kind == "view", F.concat(F.lit(" "), offset)))
+    raw = _raw(spark, sf).withColumn("odd", odd)
+    return raw.select("id", "odd", offset_seconds("odd").cast("double").alias("offset_seconds"))
+
+
+def q_daily_mean_fine(spark, sf):
+    """Daily means of a measure with many decimals."""
+    stg = _stg(spark, sf).withColumn("fine", F.col("temperature") / F.lit(7.0) - F.lit(3.0))
+    return daily_min_max(stg, measure="fine", prefix="fine")
+
+
 def q_local_shift(spark, sf):
     local = with_local_time(_raw(spark, sf))
     return local.select(
@@ -223,14 +240,7 @@ def q_layer_counts(spark, sf):
 # -- step 5: spine, payloads, ids --------------------------------------------------
 
 def q_hourly_spine(spark, sf):
-    batch = forecast_batch_from_raw(_raw(spark, sf), seed=SEED)
-    return batch.select("city", "utc_offset", "time")
-
-
-def q_spine_measures(spark, sf):
-    batch = forecast_batch_from_raw(_raw(spark, sf), seed=SEED)
-    return batch.select("city", "time", "temperature", "humidity", "pressure",
-                        "wind_speed", "weather_description")
+    return forecast_slots(_raw(spark, sf))
 
 
 def _payload_docs(spark, sf) -> DataFrame:
@@ -290,21 +300,10 @@ def q_surrogate_id(spark, sf):
     return assign_ids(orders, ["o_orderdate", "o_orderkey"], "id", base=0)
 
 
-def q_forecast_load(spark, sf):
-    """Forecast batch appended to a written raw table, read back whole."""
-    raw = _raw(spark, sf)
-    path = scratch_path(spark, "raw_weather_data")
-    append(raw, path)
-    table = spark.read.parquet(path)
-    base = current_max_id(table)
-    batch = forecast_batch_from_raw(table, seed=SEED)
-    append(load_forecasts(table, batch, base, inserted_at=AS_OF), path)
-    return spark.read.parquet(path).select(*RAW_COLUMNS)
-
-
 def q_full_refresh_daily(spark, sf):
-    """Full refresh written to tables; the daily table read back."""
+    """Two full refreshes into one place; the daily table holds the second one's days only."""
     out = scratch_path(spark, "refresh")
+    refresh(spark, _raw(spark, sf), out, as_of=EARLIER_AS_OF)
     paths = refresh(spark, _raw(spark, sf), out, as_of=AS_OF)
     return spark.read.parquet(paths["daily_average"]).select(*DAILY_COLUMNS)
 
@@ -328,22 +327,19 @@ def q_star_join_distinct(spark, sf):
 def q_bridge_join_count(spark, sf):
     """Rows per (nation, priority) through a five-table chain.
 
-    The fact table is collapsed to one row per order and then to one row per
-    (customer, priority) before the customer join, so a customer holding a
-    large share of the orders arrives as at most five rows."""
-    per_order = rel.pre_count(_t(spark, sf, "lineitem"), "l_orderkey", "_n")
-    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
-    per_cust = (per_order.join(orders, per_order["l_orderkey"] == orders["o_orderkey"])
-                .groupBy("o_custkey", "o_orderpriority").agg(F.sum("_n").alias("_n")))
+    The region filter runs first and narrows customers and, by a semi join, orders; the
+    fact table is collapsed to one row per order before it joins."""
+    region = rel.equals(_t(spark, sf, "region"), "r_name", BRIDGE_REGION).select("r_regionkey")
+    nation = _t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    nation = nation.join(region, nation["n_regionkey"] == region["r_regionkey"])
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nation = rel.fixed_dim(_t(spark, sf, "nation").select("n_nationkey", "n_name", "n_regionkey"))
-    region = rel.fixed_dim(rel.equals(_t(spark, sf, "region"), "r_name", BRIDGE_REGION)
-                           .select("r_regionkey"))
-    joined = (
-        per_cust.join(cust, per_cust["o_custkey"] == cust["c_custkey"])
-        .join(nation, F.col("c_nationkey") == nation["n_nationkey"])
-        .join(region, F.col("n_regionkey") == region["r_regionkey"])
-    )
+    cust = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]) \
+        .select("c_custkey", "n_name")
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    orders = orders.join(cust, orders["o_custkey"] == cust["c_custkey"]) \
+        .select("o_orderkey", "o_orderpriority", "n_name")
+    per_order = rel.pre_count(_t(spark, sf, "lineitem"), "l_orderkey", "_n")
+    joined = per_order.join(orders, per_order["l_orderkey"] == orders["o_orderkey"])
     return joined.groupBy("n_name", "o_orderpriority").agg(F.sum("_n").alias("cnt"))
 
 
@@ -379,7 +375,7 @@ def q_not_in_or(spark, sf):
 def q_like_pattern(spark, sf):
     cust = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment",
                                             "c_acctbal")
-    nation = rel.fixed_dim(_t(spark, sf, "nation").select("n_nationkey", "n_name"))
+    nation = _t(spark, sf, "nation").select("n_nationkey", "n_name")
     named = cust.join(nation, cust["c_nationkey"] == nation["n_nationkey"]).select(
         "c_custkey",
         F.when(F.col("c_acctbal") >= 0,
@@ -418,12 +414,15 @@ def q_insert_if_absent(spark, sf):
 
 
 def q_delete_by_key(spark, sf):
-    target, _ = _order_slices(spark, sf)
-    return delete_where_equal(target, "o_orderpriority", DELETE_PRIORITY)
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                            "o_totalprice", "o_orderdate", "o_orderpriority")
+    return delete_where_equal(orders, "o_orderpriority", DELETE_PRIORITY)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offset_parse": q_offset_parse,
+    "offset_parse_odd": q_offset_parse_odd,
+    "daily_mean_fine": q_daily_mean_fine,
     "local_shift": q_local_shift,
     "hour_truncate": q_hour_truncate,
     "raw_projection": q_raw_projection,
@@ -452,12 +451,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_suite": q_dq_suite,
     "layer_counts": q_layer_counts,
     "hourly_spine": q_hourly_spine,
-    "spine_measures": q_spine_measures,
     "payload_extract": q_payload_extract,
     "first_element": q_first_element,
     "props_extract": q_props_extract,
     "surrogate_id": q_surrogate_id,
-    "forecast_load": q_forecast_load,
     "full_refresh_daily": q_full_refresh_daily,
     "star_join_distinct": q_star_join_distinct,
     "bridge_join_count": q_bridge_join_count,

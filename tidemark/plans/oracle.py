@@ -9,7 +9,7 @@ from __future__ import annotations
 from tidemark.operators.quality import Check, declared_checks, range_checks
 from tidemark.plans import catalog as C
 from tidemark.schemas import (
-    CITY_UTC_OFFSETS, LEGACY_TOP_K, MEASURE_RANGES, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
+    CITY_UTC_OFFSETS, LEGACY_TOP_K, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
 )
 
 
@@ -25,28 +25,29 @@ def _list(values) -> str:
     return ", ".join(_lit(v) for v in values)
 
 
-def rounded_mean(c: str, scale: int = 2, input_scale: int = 4) -> str:
-    units = (f"CASE WHEN isnan({c}) OR isinf({c}) THEN NULL "
-             f"WHEN {c} < 0 THEN -floor(-{c} * {10 ** input_scale} + 0.5) "
-             f"ELSE floor({c} * {10 ** input_scale} + 0.5) END")
-    s = f"sum(CAST({units} AS BIGINT))"
-    n = f"count({units})"
-    step = 10 ** (input_scale - scale)
-    q = f"((2 * abs({s}) + {n} * {step}) // (2 * {n} * {step}))"
-    exact = f"CAST(CASE WHEN {s} < 0 THEN -{q} ELSE {q} END AS DOUBLE) / {10 ** scale}"
-    bad = f"count(*) FILTER (WHERE {c} IS NOT NULL AND (isnan({c}) OR isinf({c})))"
-    return f"CASE WHEN {bad} > 0 THEN avg({c}) WHEN {n} = 0 THEN NULL ELSE {exact} END"
+def rounded_mean(c: str, scale: int = 2) -> str:
+    """Whole units of 1e-16 as HUGEINT, then one rounding half away from zero."""
+    units = (f"CAST(CAST(CAST({c} AS VARCHAR) AS DECIMAL(21,16)) "
+             "* CAST(10000000000000000 AS DECIMAL(17,0)) AS HUGEINT)")
+    s, n = f"sum({units})", f"CAST(count({c}) AS HUGEINT)"
+    one = 10 ** 16
+    q = f"((2 * abs({s}) * {10 ** scale} + {n} * {one}) // (2 * {n} * {one}))"
+    return f"CAST(CASE WHEN {s} < 0 THEN -{q} ELSE {q} END AS DOUBLE) / {10 ** scale}"
 
 
 CITY_VALUES = ", ".join(f"({k}, {_lit(c)}, {_lit(o)})" for k, (c, o) in enumerate(CITY_UTC_OFFSETS))
 
-OFFSET_SECONDS = (
-    "(CASE WHEN trim(utc_offset) LIKE '-%' THEN -1 ELSE 1 END) * ("
-    "CAST(NULLIF(regexp_extract(trim(utc_offset), '^[+-]?([0-9]+([.][0-9]+)?)', 1), '') "
-    "AS DECIMAL(10,4)) * 3600 + "
-    "COALESCE(CAST(NULLIF(regexp_extract(trim(utc_offset), ':([0-9]+)$', 1), '') AS INTEGER), 0)"
-    " * 60)"
-)
+def offset_seconds(c: str) -> str:
+    """Seconds of an offset text, read by its parts; NULL unless all of it is an offset."""
+    bare = f"ltrim(trim({c}), '+-')"
+    hours = f"TRY_CAST(split_part({bare}, ':', 1) AS DECIMAL(18,9))"
+    minutes = f"COALESCE(TRY_CAST(NULLIF(split_part({bare}, ':', 2), '') AS INTEGER), 0)"
+    return (f"(CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9][0-9]?([.][0-9]+)?(:[0-5]?[0-9])?') "
+            f"AND {hours} < 24 THEN (CASE WHEN starts_with(trim({c}), '-') THEN -1 ELSE 1 END) "
+            f"* ({hours} * 3600 + {minutes} * 60) END)")
+
+
+OFFSET_SECONDS = offset_seconds("utc_offset")
 
 RAW_COLS = ("id, city, temperature, weather_description, wind_speed, humidity, pressure, "
             "time, inserted_at, utc_offset, is_forecast")
@@ -56,23 +57,6 @@ REPORT_COLS = ("id, city, temperature, weather_description, wind_speed, humidity
                "weather_time_local, weather_time_utc, is_forecast")
 
 
-def _spine_measures_select() -> str:
-    parts = []
-    slot = "strftime(time, '%Y-%m-%d %H:%M')"
-    for name, (low, high, dec) in MEASURE_RANGES.items():
-        unit = 10 ** dec
-        steps = int(round((high - low) * unit))
-        base = int(round(low * unit))
-        h = (f"CAST(('0x' || substr(md5(concat_ws('|', city, {slot}, '{name}', "
-             f"'{C.SEED}')), 1, 8)) AS BIGINT)")
-        parts.append(f"({base} + ({h} * {steps}) // 4294967296) / {float(unit)!r} AS {name}")
-    hd = (f"CAST(('0x' || substr(md5(concat_ws('|', city, {slot}, 'weather_description', "
-          f"'{C.SEED}')), 1, 8)) AS BIGINT)")
-    parts.append(f"[{_list(WEATHER_DESCRIPTIONS)}][{hd} % {len(WEATHER_DESCRIPTIONS)} + 1] "
-                 "AS weather_description")
-    return ", ".join(parts)
-
-
 BASE = f"""
 WITH city_dim(k, city, utc_offset) AS (VALUES {CITY_VALUES}),
 raw AS (
@@ -119,7 +103,6 @@ spine AS (
   SELECT city, utc_offset, start + to_hours(CAST(h AS BIGINT)) AS time
   FROM starts CROSS JOIN range(0, {24 * 7}) AS t(h)
 ),
-spine_m AS (SELECT city, utc_offset, time, {_spine_measures_select()} FROM spine),
 prow AS (
   SELECT r.id, r.city, r.temperature,
          CASE WHEN e.event_type = 'error' THEN NULL ELSE e.event_type END
@@ -275,9 +258,6 @@ SELECT 'Raw' AS layer, count(*) AS n FROM raw
 UNION ALL SELECT 'Staging', count(*) FROM stg
 UNION ALL SELECT 'Mart', count(*) FROM daily""",
     "hourly_spine": f"{BASE} SELECT city, utc_offset, time FROM spine",
-    "spine_measures": f"""{BASE}
-SELECT city, time, temperature, humidity, pressure, wind_speed, weather_description
-FROM spine_m""",
     "payload_extract": f"{BASE} SELECT * FROM prow",
     "first_element": """
 SELECT vec_id, embedding[1] AS first_value, embedding[10001] AS missing_value, label
@@ -290,13 +270,6 @@ FROM events""",
     "surrogate_id": """
 SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id
 FROM orders""",
-    "forecast_load": f"""{BASE}
-SELECT {RAW_COLS} FROM raw
-UNION ALL
-SELECT (SELECT max(id) FROM raw) + row_number() OVER (ORDER BY city, time) AS id,
-       city, temperature, weather_description, wind_speed, humidity, pressure, time,
-       TIMESTAMP '{C.AS_OF}' AS inserted_at, utc_offset, TRUE AS is_forecast
-FROM spine_m""",
     "full_refresh_daily": f"{BASE} SELECT * FROM daily",
     "star_join_distinct": f"""
 SELECT DISTINCT l.l_orderkey
@@ -345,8 +318,21 @@ FROM (SELECT *, row_number() OVER (PARTITION BY o_orderkey
                                             o_orderdate, o_orderpriority) AS rn
       FROM incoming) i
 WHERE rn = 1 AND NOT EXISTS (SELECT 1 FROM target t WHERE t.o_orderkey = i.o_orderkey)""",
-    "delete_by_key": f"""{BASE}
-SELECT * FROM target WHERE o_orderpriority IS DISTINCT FROM {_lit(C.DELETE_PRIORITY)}""",
+    "offset_parse_odd": f"""{BASE}, odd_rows AS (
+  SELECT id, CASE weather_description
+      WHEN 'error' THEN utc_offset || 'x'
+      WHEN 'signup' THEN utc_offset || ':30:15'
+      WHEN 'purchase' THEN '12345678'
+      WHEN 'view' THEN ' ' || utc_offset END AS odd
+  FROM raw)
+SELECT id, odd, CAST({offset_seconds('odd')} AS DOUBLE) AS offset_seconds FROM odd_rows""",
+    "daily_mean_fine": f"""{BASE}, fine AS (
+  SELECT city, CAST(weather_time_local AS DATE) AS date, temperature / 7.0 - 3.0 AS fine FROM stg)
+SELECT city, date, {rounded_mean('fine')} AS avg_fine, max(fine) AS max_fine, min(fine) AS min_fine
+FROM fine GROUP BY 1, 2""",
+    "delete_by_key": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM orders WHERE o_orderpriority IS DISTINCT FROM {_lit(C.DELETE_PRIORITY)}""",
 }
 
 # Streaming queries end in the same tables as their batch forms.

@@ -1,4 +1,4 @@
-"""End-to-end runs: forecast load, observation load, and the full refresh of
+"""End-to-end runs: forecast slots, observation load, and the full refresh of
 staging, marts and the quality report.
 
 Staging is written once and both marts read the written table, so the
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import declared_checks, range_checks, run_suite
-from tidemark.operators.spine import hourly_slots, latest_hour_per_key, with_seeded_measures
+from tidemark.operators.spine import hourly_slots, latest_hour_per_key
 from tidemark.plans.marts import daily_average, report
 from tidemark.plans.staging import staging
 from tidemark.schemas import FORECAST_DAYS_AHEAD, RAW_COLUMNS
@@ -20,28 +20,9 @@ from tidemark.sources.payload import payload_rows, split_rejects
 from tidemark.sources.tables import overwrite, prepare_append
 
 
-def forecast_batch(
-    cities: DataFrame, start_col: str = "_start",
-    days_ahead: int = FORECAST_DAYS_AHEAD, seed: int = 0,
-) -> DataFrame:
-    """Hourly forecast rows for every (city, utc_offset) row of ``cities``."""
-    slots = hourly_slots(cities, start_col, days_ahead, "time").drop(start_col)
-    return with_seeded_measures(slots, "city", "time", seed)
-
-
-def forecast_batch_from_raw(raw: DataFrame, days_ahead: int = FORECAST_DAYS_AHEAD,
-                            seed: int = 0) -> DataFrame:
-    """Forecast rows for each city of ``raw``, from the hour of its newest row."""
-    cities = latest_hour_per_key(raw, ["city", "utc_offset"], "inserted_at")
-    return forecast_batch(cities, "_start", days_ahead, seed)
-
-
-def load_forecasts(raw: DataFrame, batch: DataFrame, id_base: int, inserted_at=None) -> DataFrame:
-    """Raw rows for a forecast batch: ids after ``id_base`` in (city, time)
-    order, flag TRUE, ``inserted_at`` stamped (``inserted_at`` fixes it)."""
-    if inserted_at is not None:
-        batch = batch.withColumn("inserted_at", F.lit(str(inserted_at)).cast("timestamp_ntz"))
-    return prepare_append(batch, id_base, ["city", "time"], is_forecast=True)
+def forecast_slots(raw: DataFrame, days_ahead: int = FORECAST_DAYS_AHEAD) -> DataFrame:
+    """Hourly slots (city, utc_offset, time) from the hour of each city's newest row."""
+    return hourly_slots(latest_hour_per_key(raw), "_start", days_ahead, "time").drop("_start")
 
 
 def load_observations(parsed_payloads: DataFrame, id_base: int, text_col: str | None = None,
@@ -56,8 +37,11 @@ def load_observations(parsed_payloads: DataFrame, id_base: int, text_col: str |
 
 
 def refresh(spark: SparkSession, raw: DataFrame, out_dir: str, as_of=None,
-            partition_daily: bool = True) -> dict[str, str]:
-    """Rebuild staging, report, daily rollup and the quality report under ``out_dir``."""
+            partition_daily: bool = True, fail_on_checks: bool = False) -> dict[str, str]:
+    """Rebuild staging, report, daily rollup and the quality report under ``out_dir``.
+
+    ``fail_on_checks`` raises after the report is written if any check failed.
+    """
     out = out_dir.rstrip("/")
     paths = {name: f"{out}/{name}" for name in
              ("stg_weather_data", "weather_report", "daily_average", "quality")}
@@ -71,4 +55,8 @@ def refresh(spark: SparkSession, raw: DataFrame, out_dir: str, as_of=None,
         "daily_average": spark.read.parquet(paths["daily_average"]),
     }
     overwrite(run_suite(spark, models, declared_checks() + range_checks()), paths["quality"])
+    if fail_on_checks:
+        failed = spark.read.parquet(paths["quality"]).filter(~F.col("passed")).count()
+        if failed:
+            raise RuntimeError(f"{failed} quality checks failed, see {paths['quality']}")
     return paths

@@ -50,8 +50,9 @@ def build_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a fresh scratch folder created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local master, where
+    driver and tasks share one disk, gets a fresh scratch folder when it is unset;
+    on a cluster that is an error.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -63,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # not set in the session either
             configured = None
     if not configured:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured

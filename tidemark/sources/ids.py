@@ -1,10 +1,11 @@
 """Surrogate ids: consecutive 1..N (plus a base) in a given total order.
 
 No single-partition window over the data: rows are range-partitioned and
-sorted on the order keys, each row gets its position inside its partition,
-and a per-partition offset (the running sum of partition sizes, one row per
-partition, so it is tiny and broadcast) is added. Both branches read the same
-range exchange, which Spark reuses, so positions and offsets agree.
+sorted on the order keys and ties, each row gets its position inside its
+partition, and the sorted rows are written once to the shared checkpoint
+folder. Partition sizes are counted from those written rows, so positions and
+offsets (one row per partition, broadcast) can't disagree, and a frequent key
+is split over partitions by the tie columns.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import checkpoint_dir
+
 
 def assign_ids(
     df: DataFrame,
@@ -29,13 +32,15 @@ def assign_ids(
             if name not in order_cols and not dtype.startswith(("map", "variant"))]
     sort_cols = [F.col(c).asc_nulls_first() for c in list(order_cols) + ties]
     ordered = (
-        df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order_cols])
+        df.repartitionByRange(n, *sort_cols)
         .sortWithinPartitions(*sort_cols)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
     # monotonically_increasing_id = partition index << 33 | position in partition
     ordered = ordered.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33))
+    checkpoint_dir(df.sparkSession)
+    ordered = ordered.checkpoint(eager=True)
     sizes = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_pid",
@@ -47,7 +52,3 @@ def assign_ids(
         id_col, F.lit(base or 0).cast("long") + F.col("_off") + F.col("_pos") + F.lit(1)
     ).drop("_pid", "_mid", "_pos", "_off")
 
-
-def next_base(existing: DataFrame, id_col: str = "id") -> DataFrame:
-    """One-row frame with the current ``max(id)`` (0 when empty)."""
-    return existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("base"))

@@ -2,13 +2,15 @@
 insert-if-absent and delete-by-key.
 
 Parquet tables have no ``MERGE INTO``; every change is a DataFrame plan
-(anti-join + union) written as a new table version. A plan never overwrites
-the files it reads: results go to a fresh path (or a checkpoint is taken
-first), so a failed write leaves the old version intact.
+(anti-join + union). A commit writes the whole new version beside the table
+first and then swaps the folders by rename, so a plan may read the table it
+replaces, and a write that fails leaves the old version in place.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -19,13 +21,29 @@ from tidemark.sources.ids import assign_ids
 
 # -- pure DataFrame forms ----------------------------------------------------
 
-def upsert(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+def _first_of_key(incoming: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """One row per key, the first in ``order``; rows with a NULL in a key are all kept,
+    as NULL equals nothing."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    first = incoming.filter(whole).withColumn("_rn", F.row_number().over(w)) \
+        .filter(F.col("_rn") == 1).drop("_rn")
+    return first.unionByName(incoming.filter(~whole))
+
+
+def upsert(target: DataFrame, incoming: DataFrame, keys: list[str],
+           order_by: list | None = None) -> DataFrame:
     """Rows of ``incoming`` replace target rows with the same key; others are added.
 
-    ``incoming`` must be unique on ``keys`` (dedupe it first, e.g. latest-wins).
+    Of incoming rows that share a key the first in ``order_by`` counts (default: the
+    largest in all columns). A NULL key matches nothing, so such rows are added.
     """
-    kept = target.join(incoming.select(*keys), keys, "left_anti")
-    return kept.unionByName(incoming.select(*target.columns))
+    order = order_by or [F.col(c).desc_nulls_last() for c in incoming.columns]
+    one = _first_of_key(incoming, keys, order)
+    kept = target.join(one.select(*keys), keys, "left_anti")
+    return kept.unionByName(one.select(*target.columns))
 
 
 def insert_if_absent(
@@ -34,15 +52,12 @@ def insert_if_absent(
     """``INSERT .. ON CONFLICT (keys) DO NOTHING``.
 
     Incoming rows whose key already exists are dropped; among incoming rows
-    sharing a key the first in ``order_by`` (default: the key itself plus all
-    columns) is inserted, so the result is deterministic.
+    sharing a key the first in ``order_by`` (default: all columns ascending) is
+    inserted. A NULL key never conflicts, so such rows are all inserted.
     """
     order = order_by or [F.col(c).asc_nulls_last() for c in incoming.columns]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    first = (
-        incoming.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
-    )
-    new_rows = first.join(target.select(*keys), keys, "left_anti")
+    one = _first_of_key(incoming, keys, order)
+    new_rows = one.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new_rows.select(*target.columns))
 
 
@@ -109,12 +124,35 @@ def append(df: DataFrame, path: str) -> None:
     df.select(*RAW_COLUMNS).write.mode("append").parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full refresh of a table at ``path`` (never the path ``df`` reads)."""
-    writer = df.write.mode("overwrite")
+    """Full refresh of the table at ``path``, which ``df`` may read.
+
+    The new version is written beside the table and then takes its place by rename;
+    partitions that left the data go with the old version. Nothing changes if the
+    write fails.
+    """
+    spark = df.sparkSession
+    path = path.rstrip("/")
+    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+        # rows of one partition value meet in few tasks, split where they are many
+        writer = df.hint("rebalance", *partition_by).write.mode("errorifexists") \
+            .partitionBy(*partition_by)
+    writer.parquet(fresh)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    live = hadoop(path)
+    fs = live.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(live) and not fs.rename(live, hadoop(old)):
+        raise RuntimeError(f"could not move the old version of {path}")
+    if not fs.rename(hadoop(fresh), live):
+        raise RuntimeError(f"could not move the new version to {path}")
+    fs.delete(hadoop(old), True)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:

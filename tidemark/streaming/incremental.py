@@ -8,9 +8,12 @@ The scheduled full refresh becomes a stream over a landing folder:
   table partitioned by slot date. Only the partitions the batch touches are
   read and rewritten (dynamic partition overwrite); the merged rows are
   checkpointed first so the write never reads the files it replaces. A
-  replayed batch merges to the same result (latest-wins is idempotent).
-* ``refresh_daily``: after the merge, the daily rollup is recomputed for the
-  local dates the batch touched and those date partitions are replaced.
+  replayed batch merges to the same result (latest-wins is idempotent). Rows
+  without a slot time share one partition of their own.
+* ``refresh_batch``: after the merge, the daily rollup is recomputed for the
+  local dates of the batch and of the rows it replaced; the daily table, one
+  row per key and day, is then swapped whole, so a date that lost all its rows
+  goes.
 * ``windowed_latest``: the state-store form for event-time sources: a
   watermark on arrival time bounds the state, rows are pre-reduced per
   (key, arrival hour) and the merge finishes latest-wins across hours.
@@ -23,11 +26,12 @@ micro-batch is a static DataFrame.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.errors import AnalysisException
 
 from tidemark.operators.dedup import latest_by_aggregate, latest_per_key
 from tidemark.operators.retention import retain
@@ -36,26 +40,21 @@ from tidemark.plans.staging import with_local_time
 from tidemark.schemas import RAW_COLUMNS, RETENTION_HOURS, STAGING_COLUMNS
 from tidemark.functions.timeshift import shift_by_seconds
 from tidemark.session import checkpoint_dir
-from tidemark.sources.tables import overwrite_partitions
+from tidemark.sources.tables import overwrite, overwrite_partitions, path_exists
 
 SLOT_DATE = "_slot_date"
 
 
+# partition of rows whose slot time is NULL
+NO_DATE = "0001-01-01"
+
+
 def read_table_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
-def land_in_files(df: DataFrame, path: str, n_files: int, order_col: str) -> None:
-    """Land ``df`` as ``n_files`` appends in ascending ``order_col`` ranges, one
-    write after another, so a file stream picks them up in time order."""
-    ranged = df.repartitionByRange(n_files, order_col).withColumn("_part", F.spark_partition_id())
-    ranged = ranged.checkpoint(eager=True)
-    for i in range(n_files):
-        ranged.filter(F.col("_part") == i).drop("_part").coalesce(1) \
-            .write.mode("append").parquet(path)
+def slot_date(time_col: str = "time"):
+    return F.coalesce(F.to_date(F.col(time_col)), F.lit(NO_DATE).cast("date"))
 
 
 def read_landing(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
@@ -90,16 +89,15 @@ def merge_latest(
     spark = batch.sparkSession
     checkpoint_dir(spark)
     keys = list(keys)
-    fresh = latest_per_key(batch, keys, order_col, tie_col).withColumn(
-        SLOT_DATE, F.to_date(F.col(date_of)))
+    rows = batch.withColumn(SLOT_DATE, slot_date(date_of))
     current = read_table_if_exists(spark, target_path)
     if current is not None:
-        touched = fresh.select(SLOT_DATE).distinct()
-        affected = current.join(touched, SLOT_DATE, "left_semi")
-        # the merge reads the partitions it replaces: materialise it first
-        fresh = latest_per_key(affected.unionByName(fresh), keys, order_col, tie_col) \
-            .checkpoint(eager=True)
-    overwrite_partitions(fresh, target_path, [SLOT_DATE])
+        touched = rows.select(SLOT_DATE).distinct()
+        rows = current.join(touched, SLOT_DATE, "left_semi").unionByName(rows)
+    # the merge reads the partitions it replaces: materialise it first
+    merged = latest_per_key(rows, keys, order_col, tie_col).checkpoint(eager=True)
+    if not merged.isEmpty():
+        overwrite_partitions(merged, target_path, [SLOT_DATE])
 
 
 def _with_persisted(batch: DataFrame, fn) -> None:
@@ -164,16 +162,39 @@ def refresh_batch(batch: DataFrame, staging_path: str, daily_path: str, as_of,
     """
     spark = batch.sparkSession
     kept = _retained(batch, as_of, hours)
+    local_date = F.to_date("time_local_tz").alias("date")
+    touched = kept.select(local_date)
+    current = read_table_if_exists(spark, staging_path)
+    if current is not None:
+        # a newer row may sit on another local date than the one it replaces
+        keys = kept.select(F.col("city").alias("_c"), F.col("time").alias("_t"),
+                           slot_date().alias(SLOT_DATE)).distinct()
+        replaced = current.join(keys, SLOT_DATE).filter(
+            F.col("city").eqNullSafe(F.col("_c")) & F.col("time").eqNullSafe(F.col("_t")))
+        touched = touched.unionByName(with_local_time(replaced).select(local_date))
+    touched = touched.distinct().checkpoint(eager=True)
     merge_latest(kept.select(*RAW_COLUMNS), staging_path)
-    touched = kept.select(F.to_date("time_local_tz").alias("date")).distinct()
-    # local dates are within one day of the UTC slot date: read only those partitions
-    slot_dates = touched.select(F.explode(F.array(
-        F.date_sub("date", 1), F.col("date"), F.date_add("date", 1))).alias(SLOT_DATE)).distinct()
-    table = spark.read.parquet(staging_path).join(slot_dates, SLOT_DATE, "left_semi")
+    table = read_table_if_exists(spark, staging_path)
+    if table is None or touched.isEmpty():
+        return
+    # An offset is less than a day, so a local date is within one day of the slot date.
+    # The two bounds are scalars, so they prune partitions; rows without a local date have
+    # no bound.
+    span = touched.agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
+                       F.bool_or(F.col("date").isNull()).alias("open")).first()
+    if not span["open"]:
+        day = dt.timedelta(days=1)
+        table = table.filter(F.col(SLOT_DATE).between(F.lit(span["lo"] - day),
+                                                      F.lit(span["hi"] + day)))
     stg = staging_from_retained(table)
-    daily = daily_average(stg).join(touched, "date", "left_semi")
-    # reads the staging table only, so the daily partitions can be replaced directly
-    overwrite_partitions(daily, daily_path, ["date"])
+    marked = touched.select(F.col("date").alias("_d"))
+    daily = daily_average(stg)
+    daily = daily.join(marked, daily["date"].eqNullSafe(marked["_d"]), "left_semi")
+    old = read_table_if_exists(spark, daily_path)
+    if old is not None:
+        daily = old.join(marked, old["date"].eqNullSafe(marked["_d"]), "left_anti") \
+            .unionByName(daily.select(*old.columns))
+    overwrite(daily, daily_path)
 
 
 def refresh_sink(staging_path: str, daily_path: str, as_of, hours: int = RETENTION_HOURS):

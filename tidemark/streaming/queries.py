@@ -1,9 +1,11 @@
 """Registered streaming queries.
 
-Each lands the ``events`` table as several files in the shared folder, runs
-the stream over them one file per micro-batch with ``availableNow``, and
-returns the table the stream maintained. The final tables equal the batch
-results, so the batch oracle SQL applies.
+Each lands the ``events`` table in the shared folder by an ordinary parallel
+write, runs the stream over the files in a few micro-batches with
+``availableNow``, and returns the table the stream maintained. The final tables
+equal the batch results, so the batch oracle SQL applies. The watermarked form
+reads all files in one micro-batch, as files written in parallel have no
+arrival order.
 """
 
 from __future__ import annotations
@@ -16,23 +18,22 @@ from tidemark.session import checkpoint_dir, scratch_path
 from tidemark.sources.raw import city_dim, observations_from_events, read_table
 from tidemark.streaming import incremental as inc
 
-LANDING_FILES = 4
-STREAM_TIMEOUT_S = 3600
+MICRO_BATCHES = 4
 
 
-def _raw_stream(spark: SparkSession, sf: str) -> DataFrame:
+def _raw_stream(spark: SparkSession, sf: str, batches: int = MICRO_BATCHES) -> DataFrame:
     events = read_table(spark, sf, "events")
     checkpoint_dir(spark)
     landing = scratch_path(spark, "landing-events")
-    inc.land_in_files(events, landing, LANDING_FILES, "ts")
-    stream = inc.read_landing(spark, landing, events.schema, max_files_per_trigger=1)
+    files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    events.repartition(files).write.parquet(landing)
+    each = -(-files // batches) if batches > 1 else None
+    stream = inc.read_landing(spark, landing, events.schema, max_files_per_trigger=each)
     return observations_from_events(stream, city_dim(spark))
 
 
 def _finish(query) -> None:
-    if not query.awaitTermination(STREAM_TIMEOUT_S):
-        query.stop()
-        raise TimeoutError(f"stream {query.name or query.id} did not finish")
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
@@ -51,7 +52,7 @@ def q_stream_latest_wins(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_stream_windowed_latest(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch_path(spark, "stream-windowed")
-    _finish(inc.run_windowed_latest(_raw_stream(spark, sf), target, scratch_path(spark, "ckpt")))
+    _finish(inc.run_windowed_latest(_raw_stream(spark, sf, batches=1), target, scratch_path(spark, "ckpt")))
     return inc.read_latest(spark, target)
 
 
