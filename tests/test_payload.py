@@ -1,6 +1,8 @@
 import json
 
-from tidemark.sources.payload import parse_payload, payload_rows, read_payloads, split_rejects
+from tidemark.sources.payload import (
+    parse_payload, payload_rows, read_payloads, split_documents, split_rejects,
+)
 
 
 def doc(**current):
@@ -65,3 +67,15 @@ def test_normalize_to_utc_subtracts_offset(spark):
     utc = payload_rows(parsed, "payload", normalize_to_utc=True).first()
     assert str(kept.time) == "2026-04-03 09:14:00"
     assert str(utc.time) == "2026-04-03 13:14:00"  # offset -4.0
+
+
+def test_documents_are_rejected_by_absent_keys_and_keep_their_text(spark):
+    docs = [doc(), doc(temperature=None), doc(weather_descriptions=None), doc(humidity=...),
+            doc(temperature=...), doc(weather_descriptions=...), doc(wind_speed=...),
+            doc(temperature="warm"), doc().replace("2026-04-03 09:14", "noon"), "{broken", "", None]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i INT, payload STRING")
+    good, bad = split_documents(parse_payload(df, "payload"), "payload")
+    rows = {r.i: r for r in payload_rows(good, "payload", keep=["i"]).collect()}
+    assert sorted(rows) == [0, 1, 2, 3]
+    assert rows[1].temperature is None and rows[2].weather_description is None
+    assert {r.i: r.payload for r in bad.collect()} == dict(list(enumerate(docs))[4:])

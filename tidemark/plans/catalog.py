@@ -19,7 +19,7 @@ from tidemark.operators.dedup import first_per_key, latest_by_aggregate, latest_
 from tidemark.operators.retention import retain
 from tidemark.operators.rollup import count_rows, daily_min_max
 from tidemark.plans.marts import daily_average, daily_sorted, report, report_sorted
-from tidemark.plans.runs import forecast_slots, refresh
+from tidemark.plans.runs import forecast_slots, load_observations, refresh
 from tidemark.plans.staging import legacy_staging, staging, staging_sorted, with_local_time
 from tidemark.schemas import (
     DAILY_COLUMNS, LEGACY_TOP_K, RAW_COLUMNS, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
@@ -277,6 +277,34 @@ def q_payload_extract(spark, sf):
     return _payload_rows(spark, sf)
 
 
+def _landed_docs(spark, sf) -> DataFrame:
+    """The rendered documents, landed as lines of text and parsed. View events hold a
+    ``null`` temperature, purchase events lack the descriptions."""
+    raw = _raw(spark, sf).select("id", F.col("weather_description").alias("kind"))
+    text = F.col("payload")
+    text = F.when(F.col("kind") == "view",
+                  F.regexp_replace(text, r'"temperature":[^,}]+', '"temperature":null')) \
+        .when(F.col("kind") == "purchase",
+              F.regexp_replace(text, r'"weather_descriptions":\[[^\]]*\],', "")) \
+        .otherwise(text)
+    docs = _payload_docs(spark, sf).join(raw, "id")
+    landing = scratch_path(spark, "landing-documents")
+    docs.select(text.alias("value")).write.text(landing)
+    return parse_payload(spark.read.text(landing), "value")
+
+
+def q_observation_load(spark, sf):
+    """Raw rows of the landed documents that are accepted."""
+    return load_observations(_landed_docs(spark, sf), 0, "value", inserted_at=AS_OF)[0]
+
+
+def q_observation_rejects(spark, sf):
+    """City and local time of rejected documents, read again from the text they keep."""
+    bad = load_observations(_landed_docs(spark, sf), 0, "value", inserted_at=AS_OF)[1]
+    return bad.select(F.get_json_object("value", "$.location.name").alias("city"),
+                      F.get_json_object("value", "$.location.localtime").alias("localtime"))
+
+
 def q_first_element(spark, sf):
     emb = _t(spark, sf, "embeddings")
     return emb.select("vec_id", F.get("embedding", 0).alias("first_value"),
@@ -452,6 +480,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layer_counts": q_layer_counts,
     "hourly_spine": q_hourly_spine,
     "payload_extract": q_payload_extract,
+    "observation_load": q_observation_load,
+    "observation_rejects": q_observation_rejects,
     "first_element": q_first_element,
     "props_extract": q_props_extract,
     "surrogate_id": q_surrogate_id,

@@ -259,6 +259,24 @@ UNION ALL SELECT 'Staging', count(*) FROM stg
 UNION ALL SELECT 'Mart', count(*) FROM daily""",
     "hourly_spine": f"{BASE} SELECT city, utc_offset, time FROM spine",
     "payload_extract": f"{BASE} SELECT * FROM prow",
+    "observation_load": f"""{BASE}
+, landed AS (
+  SELECT p.city, CASE WHEN e.event_type = 'view' THEN NULL ELSE p.temperature END AS temperature,
+         p.weather_description, p.wind_speed, p.humidity, p.pressure, p.time,
+         TIMESTAMP '2024-01-20 12:00:00' AS inserted_at, p.utc_offset, FALSE AS is_forecast
+  FROM prow p JOIN events e ON p.id = e.event_id
+  WHERE e.event_type <> 'purchase'
+)
+SELECT row_number() OVER (
+         ORDER BY city NULLS FIRST, time NULLS FIRST, temperature NULLS FIRST,
+                  weather_description NULLS FIRST, wind_speed NULLS FIRST,
+                  humidity NULLS FIRST, pressure NULLS FIRST, utc_offset NULLS FIRST) AS id,
+       *
+FROM landed""",
+    "observation_rejects": f"""{BASE}
+SELECT p.city, strftime(p.time, '%Y-%m-%d %H:%M') AS localtime
+FROM prow p JOIN events e ON p.id = e.event_id
+WHERE e.event_type = 'purchase'""",
     "first_element": """
 SELECT vec_id, embedding[1] AS first_value, embedding[10001] AS missing_value, label
 FROM embeddings""",

@@ -16,7 +16,7 @@ from tidemark.operators.spine import hourly_slots, latest_hour_per_key
 from tidemark.plans.marts import daily_average, report
 from tidemark.plans.staging import staging
 from tidemark.schemas import FORECAST_DAYS_AHEAD, RAW_COLUMNS
-from tidemark.sources.payload import payload_rows, split_rejects
+from tidemark.sources.payload import payload_rows, split_documents, split_rejects
 from tidemark.sources.tables import overwrite, prepare_append
 
 
@@ -28,9 +28,16 @@ def forecast_slots(raw: DataFrame, days_ahead: int = FORECAST_DAYS_AHEAD) -> Dat
 def load_observations(parsed_payloads: DataFrame, id_base: int, text_col: str | None = None,
                       inserted_at=None, normalize_to_utc: bool = False
                       ) -> tuple[DataFrame, DataFrame]:
-    """(raw rows, rejected rows) for a set of parsed reading documents."""
-    rows = payload_rows(parsed_payloads, text_col, normalize_to_utc=normalize_to_utc)
-    good, bad = split_rejects(rows)
+    """(raw rows, rejects) for a set of parsed reading documents.
+
+    With ``text_col`` the rejects are whole documents with their text, else flat rows.
+    """
+    if text_col is not None:
+        accepted, bad = split_documents(parsed_payloads, text_col)
+        good = payload_rows(accepted, text_col, normalize_to_utc=normalize_to_utc)
+    else:
+        good, bad = split_rejects(payload_rows(parsed_payloads,
+                                               normalize_to_utc=normalize_to_utc))
     if inserted_at is not None:
         good = good.withColumn("inserted_at", F.lit(str(inserted_at)).cast("timestamp_ntz"))
     return prepare_append(good, id_base, ["city", "time", "temperature"], is_forecast=False), bad

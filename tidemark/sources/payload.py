@@ -3,8 +3,10 @@
 A landing folder of JSON documents is read in bulk with the declared payload
 schema (no inference), or a string column is parsed with ``from_json``. Only
 eight fields are kept. ``humidity`` and ``pressure`` default to 0 when the key
-is absent; in exact mode an explicit JSON ``null`` stays NULL. Rows without a
-city, time, offset, temperature or wind speed are routed to a reject set.
+is absent; in exact mode an explicit JSON ``null`` stays NULL. With the document
+text at hand, a document is rejected when a required key is absent, its slot time
+can't be read or a number is no number; a required key that holds ``null`` is
+accepted. Rejected documents keep their text.
 """
 
 from __future__ import annotations
@@ -17,6 +19,9 @@ from tidemark.functions.timeshift import offset_seconds, seconds_interval
 from tidemark.schemas import PAYLOAD_DDL
 
 REQUIRED = ["city", "time", "utc_offset", "temperature", "wind_speed"]
+LOCATION_KEYS = ["name", "localtime", "utc_offset"]
+READING_KEYS = ["temperature", "weather_descriptions", "wind_speed"]
+MEASURES = ["temperature", "wind_speed", "humidity", "pressure"]
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
@@ -87,8 +92,26 @@ def payload_rows(df: DataFrame, text_col: str | None = None, keep=(),
     )
 
 
+def _has_keys(text_col: str, path: str, keys: list[str]) -> Column:
+    found = F.json_object_keys(F.get_json_object(F.col(text_col), path))
+    wanted = F.array(*[F.lit(k) for k in keys])
+    return F.coalesce(F.size(F.array_intersect(found, wanted)) == len(keys), F.lit(False))
+
+
+def split_documents(parsed: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) parsed documents; both keep the columns of ``parsed``."""
+    ok = _has_keys(text_col, "$.location", LOCATION_KEYS) \
+        & _has_keys(text_col, "$.current", READING_KEYS) \
+        & (F.col("location.localtime").isNull() | _slot_time(False).isNotNull())
+    for name in MEASURES:
+        written = F.get_json_object(F.col(text_col), f"$.current.{name}")
+        ok = ok & (written.isNull() | F.col(f"current.{name}").isNotNull())
+    ok = F.coalesce(ok, F.lit(False))
+    return parsed.filter(ok), parsed.filter(~ok)
+
+
 def split_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) by presence of the required fields."""
+    """(accepted, rejected) flat rows by their required fields, where the text isn't at hand."""
     ok = None
     for name in REQUIRED:
         cond = F.col(name).isNotNull()
