@@ -160,6 +160,55 @@ def test_frequent_line_goes_from_all_but_its_first_holder(spark):
     assert line_align.dedup_lines(documents(spark, []).limit(0)).count() == 0
 
 
+def frequent_rows():
+    """Blocks with over RARE holders that one alignment with each line's first holder leaves."""
+    x, y = "this very common line is in all of them", "another line that many documents hold"
+    texts = [f"{x}\n{prose('p', 5)}\n{y}"]
+    texts += [f"{y}\n{prose(f'c{k}', 9)}\n{x}" for k in range(5)]          # crossing
+    texts += [f"{x}\n{prose(f'r{k}', 9)}\n{x}\n{prose(f's{k}', 9)}\n{y}" for k in range(6)]  # repeats
+    # Short lines with first holders of their own, first together in the third of these.
+    texts += ["first part\n" + prose("u", 9), "second part\n" + prose("v", 9)]
+    texts += [f"{prose(f'w{k}', 9)}\nfirst part\n \nsecond part\n{prose(f'z{k}', 9)}" for k in range(12)]
+    texts += [f"second part\nfirst part\n{prose('t', 9)}"]
+    return [(k, t, "en", "s", 1) for k, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("rare", [line_align.RARE, 2])
+def test_blocks_go_whatever_the_number_of_holders(spark, monkeypatch, rare):
+    rows = frequent_rows()
+    docs = documents(spark, rows)
+    got = {r["doc_id"]: set(r["gone"] or ())
+           for r in line_align.dedup_lines(docs, rare=rare, gone_col="gone").collect()}
+    hashed = hashed_rows(docs)
+    monkeypatch.setattr(line_align, "RARE", len(rows))
+    every = {key[0]: gone for key, gone in slow_line_dedup(hashed).items()}
+    assert every and all(gone <= got[i] for i, gone in every.items())
+    # Exactly the runs of 20 characters that stand in an earlier document.
+    own = {i: [(p, x) for p, x in enumerate(t.split("\n")) if x.strip()] for i, t, *_ in rows}
+    seen = set()
+    for i, here in own.items():
+        runs = [(tuple(x for _, x in here[a:b]), [p for p, _ in here[a:b]])
+                for a in range(len(here)) for b in range(a + 1, len(here) + 1)]
+        runs = [r for r in runs if sum(map(len, r[0])) >= line_align.LEAST_CHARS]
+        assert got[i] == {p for run, at in runs if run in seen for p in at}
+        seen |= {run for run, _ in runs}
+
+
+def test_windows_cover_every_block():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        n = int(rng.integers(1, 14))
+        chars, at = rng.integers(1, 26, n).tolist(), np.cumsum(rng.integers(1, 3, n)).tolist()
+        often = (rng.random(n) < 0.8).tolist()
+        spans = line_align.windows(at, often, chars, 20)
+        for a in range(n):
+            for b in range(a + 1, n + 1):
+                if sum(chars[a:b]) >= 20 and all(often[a:b]) and at[b - 1] - at[a] == b - 1 - a:
+                    inside = [(i, j) for i, j in spans if a <= i and j <= b]
+                    assert {k for i, j in inside for k in range(i, j)} == set(range(a, b))
+        assert all(sum(chars[i:j]) >= 20 and all(often[i:j]) for i, j in spans)
+
+
 def test_patience_keeps_order():
     a, b = list("abcdefgh"), list("xabdcefgy")
     pairs = line_align.patience(a, b)

@@ -1,12 +1,18 @@
 """Line dedup by pairwise alignment.
 
-Documents that share a rare line are paired: a line held by at most ``RARE`` documents
-pairs each holder with every earlier one, a more frequent line pairs each holder with its
-first holder only, so pairs stay linear in the line's occurrences and no line is left out.
-The shared lines of a pair are aligned by patience diff, and aligned blocks of common
-lines (at least ``LEAST_CHARS`` characters in all) are deleted from the later document.
+A run of consecutive lines (``LEAST_CHARS`` characters or more) goes from every document
+but the first that holds it. Two ways find the runs, and together they find all:
 
-Earlier means the smaller (id, hash of the text), null ids last. Alignment looks at the
+Documents that share a rare line, held by at most ``RARE`` documents, are paired, each
+holder with every earlier one. The shared lines of a pair are aligned by patience diff and
+aligned blocks go from the later document; then what the alignment left of the pair's common
+blocks (repeats and crossings) goes too. A run that holds a rare line is met in such a pair.
+
+Runs of frequent lines only need no pairs, which would grow with the square of the holders.
+They are covered by their shortest windows of ``LEAST_CHARS`` characters from each line on
+and up to each line, and a window goes from every document but the first that holds it.
+
+Earlier means the smaller (id, hash of the text), null ids last. Both ways look at the
 input texts, so a block may go because of a document that itself loses it to a third one;
 the first holder always keeps it.
 
@@ -75,8 +81,41 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
+def windows(at, common, chars, least: int) -> list[tuple[int, int]]:
+    """(first, past last) of the shortest windows of ``least`` characters that start or end at
+    each line, within runs of consecutive common lines."""
+    out = set()
+    n, begin = len(at), 0
+    while begin < n:
+        end = begin + 1
+        if not common[begin]:
+            begin = end
+            continue
+        while end < n and common[end] and at[end] == at[end - 1] + 1:
+            end += 1
+        first, size = begin, 0
+        for j in range(begin, end):  # the shortest window that ends at j
+            size += chars[j]
+            while size - chars[first] >= least:
+                size -= chars[first]
+                first += 1
+            if size >= least:
+                out.add((first, j + 1))
+        last, size = end, 0
+        for i in range(end - 1, begin - 1, -1):  # the shortest window that starts at i
+            size += chars[i]
+            while size - chars[last - 1] >= least:
+                last -= 1
+                size -= chars[last]
+            if size >= least:
+                out.add((i, last))
+        begin = end
+    return sorted(out)
+
+
 def common_blocks(a_at, a_line, b_at, b_line, b_chars, least: int) -> list[int]:
-    """Indexes into b of the lines in aligned common blocks of ``least`` characters."""
+    """Indexes into b of the lines in common blocks of ``least`` characters: first the aligned
+    ones, then those that alignment leaves (repeats and crossings)."""
     out, block, size, last = [], [], 0, (-2, -2)
     for i, j in [*patience(a_line, b_line), (-1, -1)]:
         here = (a_at[i] - 1, b_at[j] - 1) if i >= 0 else None
@@ -88,7 +127,20 @@ def common_blocks(a_at, a_line, b_at, b_line, b_chars, least: int) -> list[int]:
             block.append(j)
             size += b_chars[j]
             last = (a_at[i], b_at[j])
-    return out
+    in_a = set(a_line)
+    common = [x in in_a for x in b_line]
+    if sum(common) == len(out):
+        return out
+    gone, places = set(out), {}
+    for i, x in enumerate(a_line):
+        places.setdefault(x, []).append(i)
+    for first, end in windows(b_at, common, b_chars, least):
+        n = end - first
+        if not gone.issuperset(range(first, end)) and any(
+                a_line[i:i + n] == b_line[first:end] and a_at[i + n - 1] - a_at[i] == n - 1
+                for i in places[b_line[first]]):
+            gone.update(range(first, end))
+    return sorted(gone)
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
@@ -111,26 +163,24 @@ def deletions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
 
     held = lines.select("h1", "h2", "kid", "kth").distinct()
     key = F.struct("kid", "kth")
-    common = cut(held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"),
-                                              F.min(key).alias("first")).where("n > 1"))
+    common = cut(held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     held = cut(lines.select("h1", "h2", "kid", "kth").distinct()
-               .join(common, ["h1", "h2"]))
-    frequent = held.where((F.col("n") > rare) & (key != F.col("first"))) \
-        .select(F.col("first").alias("a"), key.alias("b"))
-    few = held.where(F.col("n") <= rare).groupBy("h1", "h2") \
+               .join(common.where(F.col("n") <= rare), ["h1", "h2"]))
+    few = held.groupBy("h1", "h2") \
         .agg(F.sort_array(F.collect_list(key)).alias("ks"))  # at most ``rare`` each
     pairs = few.select(F.explode(F.flatten(F.transform(
         "ks", lambda b, j: F.transform(F.slice("ks", 1, j),
                                        lambda a: F.struct(a.alias("a"), b.alias("b")))))).alias("p")) \
         .select("p.a", "p.b").where("a != b")
-    pairs = cut(frequent.unionByName(pairs).distinct())
+    pairs = cut(pairs.distinct())
 
-    shared = lines.join(common.select("h1", "h2"), ["h1", "h2"], "left_semi")
+    shared = lines.join(common.select("h1", "h2", (F.col("n") > rare).alias("often")), ["h1", "h2"])
     # Lines that no other document holds can't be aligned; only the others travel.
     rows = cut(shared.groupBy("kid", "kth").agg(F.sort_array(F.collect_list(F.struct(
-        "at", "pos", "chars", "h1"))).alias("l")).select(
+        "at", "pos", "chars", "h1", "h2", "often"))).alias("l")).select(
             key.alias("k"), F.col("l.at").alias("at"), F.col("l.pos").alias("pos"),
-            F.col("l.chars").alias("chars"), F.col("l.h1").alias("h")))
+            F.col("l.chars").alias("chars"), F.col("l.h1").alias("h"), F.col("l.h2").alias("h2"),
+            F.col("l.often").alias("often")))
     left = rows.select(F.col("k").alias("a"), F.col("at").alias("a_at"), F.col("h").alias("a_h"))
     right = rows.select(F.col("k").alias("b"), F.col("at").alias("b_at"), F.col("h").alias("b_h"),
                         "pos", "chars")
@@ -151,7 +201,31 @@ def deletions(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
                 [batch.column(0).take(at), batch.column(1).take(at), pa.array(gone, pa.int32())],
                 names=["kid", "kth", "pos"])
 
-    return met.mapInArrow(align, "kid long, kth long, pos int").distinct() \
+    def cover(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, lines, spans = [], [], []
+            for r, (at, pos, chars, h, h2, often) in enumerate(
+                    zip(*(batch.column(k).to_pylist() for k in range(2, 8)))):
+                for i, j in windows(at, often, chars, least_chars):
+                    owner.append(r)
+                    lines.append(h[i:j] + h2[i:j])
+                    spans.append(pos[i:j])
+            own = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(own), batch.column(1).take(own),
+                 pa.array(lines, pa.list_(pa.int64())), pa.array(spans, pa.list_(pa.int32()))],
+                names=["kid", "kth", "lines", "span"])
+
+    covers = cut(rows.where(F.exists("often", lambda x: x)).select(
+        "k.kid", "k.kth", "at", "pos", "chars", "h", "h2", "often")
+        .mapInArrow(cover, "kid long, kth long, lines array<long>, span array<int>")
+        .select("kid", "kth", "span", F.xxhash64("lines").alias("w1"), F.hash("lines").alias("w2")))
+    firsts = cut(covers.groupBy("w1", "w2").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+                 .where("first != last").drop("last"))
+    later = covers.join(firsts, ["w1", "w2"]).where(key != F.col("first")) \
+        .select("kid", "kth", F.explode("span").alias("pos"))
+
+    return met.mapInArrow(align, "kid long, kth long, pos int").unionByName(later).distinct() \
         .groupBy("kid", "kth").agg(F.sort_array(F.collect_list("pos")).alias("gone"))
 
 
