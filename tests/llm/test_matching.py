@@ -283,6 +283,24 @@ def test_decontamination_edges(spark):
     assert decontaminate.clean(docs, items.limit(0)).count() == len(rows)
 
 
+def test_items_that_end_in_symbols_are_confirmed(spark):
+    ends = ['the old heron said "yes."', 'print("Hello river!")', "(see Fig. 2.)", "it is $x=3.$",
+            "it is a reed.\t", "it is a reed.\n\n", "a reed?! ...", "it is 3.5)"]
+    texts = [f"what grows by the river {prose(f'q{k}', 9)}? {end}" for k, end in enumerate(ends)]
+    texts += [f"{prose('one', 12)}.\"", f'"?" {prose("two", 12)}']
+    docs = documents(spark, [(k, f"{prose(k, 90)} {t} {prose(k + 50, 90)}", None, None, 0)
+                             for k, t in enumerate(texts)])
+    items = spark.createDataFrame(list(enumerate(texts)), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got >= {(k, k) for k in range(len(texts))}
+    assert decontaminate.clean(docs, items).count() == 0
+    answers = [None, "", '"', " ?!", *["a reed"] * (len(texts) - 4)]
+    items = spark.createDataFrame([(k, t, a) for k, (t, a) in enumerate(zip(texts, answers))],
+                                  "item_id long, text string, answer string")
+    got = decontaminate.contaminated(docs, items, answer_col="answer").collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} >= {(k, k) for k in range(4)}
+
+
 def test_index_in_slices_finds_the_same(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = spark.read.parquet(f"{SF}/benchmark.parquet")

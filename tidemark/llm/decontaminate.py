@@ -14,7 +14,9 @@ there are; each slice is one more pass over the documents.
 
 Edge cases: words are lower-cased letter/digit runs. Items without words are ignored; items
 shorter than a shingle must occur whole. An item of one sentence is question and answer at
-once, unless an answer column is given. Null and empty texts match nothing. Repeated
+once, unless an answer column is given; closing quotes, brackets, symbols and blanks at its end
+are no answer. A question or answer without words (null, empty, symbols) stands for the whole
+item. Null and empty texts match nothing. Repeated
 documents or items give repeated hits. An empty table on either side gives no rows. Other
 columns are not read.
 """
@@ -168,15 +170,18 @@ def index_rows(items: DataFrame, id_col: str, text_col: str,
         answer = F.coalesce(F.col(answer_col), F.lit(""))
         question, whole = text, F.concat_ws("\n", text, answer)
     else:
-        body = F.rtrim(text)
-        answer = F.regexp_extract(body, r"(?s)([^.!?\n]*[.!?]*)$", 1)
+        # Up to the last letter or digit, so that the last sentence always has a word.
+        body = F.regexp_extract(text, r"(?s)^(.*[\p{L}\p{N}])", 1)
+        answer = F.regexp_extract(body, r"([^.!?\n]*)$", 1)
         cut_off = F.length(body) - F.length(answer)
         question = F.substring(body, F.lit(1), cut_off)
-        question, whole = F.when(F.trim(question) == "", body).otherwise(question), body
+        whole = text
     rows = items.select(
         F.col(id_col).cast("long").alias("item"), F.monotonically_increasing_id().alias("row"),
         word_hashes(whole).alias("all"), word_hashes(question).alias("question"),
         word_hashes(answer).alias("answer")).where(F.size("all") > 0)
+    rows = rows.withColumns({side: F.when(F.size(side) > 0, F.col(side)).otherwise(F.col("all"))
+                             for side in ("question", "answer")})
     rows = cut(rows)
     stats = rows.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("all")).alias("mean"),
                      F.sum(F.size("all")).alias("tokens")).first()
