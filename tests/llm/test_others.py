@@ -135,6 +135,18 @@ def test_rollup_commits_once(spark):
     assert got == {("a", 2, 17), (None, 1, 0)}
 
 
+def test_rollup_replays_a_batch_with_an_empty_marker(spark):
+    schema = "op string, source string, lang string, tokenizer_version string, tokens long, old_tokens long"
+    root = scratch_path(spark, "rollup-empty-marker")
+    fs, marker = token_rollup.file_system(spark, f"{root}/commits/1")
+    fs.create(marker, False).close()  # the driver died before it wrote the folder's name
+    assert token_rollup.totals(spark, root).count() == 0
+    batch = spark.createDataFrame([("insert", "a", "en", "v1", 10, None)], schema)
+    assert token_rollup.commit(spark, root, "1", batch)
+    assert not token_rollup.commit(spark, root, "1", batch)
+    assert [(r["documents"], r["tokens"]) for r in token_rollup.totals(spark, root).collect()] == [(1, 10)]
+
+
 def test_mixing_hits_targets_and_repeats(spark):
     docs = documents(spark).repartition(5)
     one = sorted(map(tuple, mixing.mix(docs).collect()), key=str)

@@ -6,9 +6,10 @@ those are written; totals are the sum of all committed batches, so no batch read
 documents of another.
 
 A batch commits once: its totals go to a folder of their own, then a marker named after the
-batch is created, which the file system allows one writer only. A batch that was replayed,
-or a task or driver that died half way, changes nothing; folders without a marker are
-never read.
+batch is created, which the file system allows one writer only, and the folder's name is
+written into it. A batch that was replayed, or a task or driver that died half way, changes
+nothing: folders without a marker are never read, and an empty marker, left by a driver that
+died before it wrote the name, is not a commit; the replay replaces it.
 
 Edge cases: null source, language or version are keys like any other. Null counts add 0.
 Repeated rows are separate changes. An empty batch commits and adds nothing; a store
@@ -50,13 +51,22 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def committed(fs, marker) -> bool:
+    """Whether the marker exists and names a folder."""
+    return fs.exists(marker) and fs.getFileStatus(marker).getLen() > 0
+
+
 def commit(spark: SparkSession, root: str, batch_id: str, changes: DataFrame) -> bool:
     """Add a batch once. False if it had been committed before."""
     fs, marker = file_system(spark, f"{root}/commits/{batch_id}")
-    if fs.exists(marker):
+    if committed(fs, marker):
         return False
     folder = f"{batch_id}-{uuid.uuid4().hex}"
     signed(changes).write.parquet(f"{root}/batches/{folder}")
+    if committed(fs, marker):
+        return False
+    if fs.exists(marker):
+        fs.delete(marker, False)
     try:
         out = fs.create(marker, False)
     except Exception:
