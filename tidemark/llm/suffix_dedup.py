@@ -1,13 +1,15 @@
 """Suffix-array dedup: bytes covered by long strings that start more than once.
 
-The suffix order is refined by bucket pointers, as far as the question needs it. Every
-position gets the bucket of its q-gram; a bucket of 2q-grams is refined from the buckets
-at a position and at a later offset, and each refinement feeds the next, up to q = half
-the wanted length. Positions are first dealt by the q-gram bucket that is smallest within
+No suffix order is built: window hashes dealt by minimizers take the place of bucket-pointer
+refinement, which would sort the buckets of all positions anew in every round. The question
+is only which windows are equal, so nothing is ordered and no bucket is updated. Every
+position gets the hash of its q-gram, its bucket; the hash of a 2q-gram comes from those at a
+position and at a later offset, up to q = half the wanted length, inside one block of texts.
+Positions are dealt by the q-gram bucket that is smallest within
 their window, so that equal windows always meet in the same bucket, and neighbours that
-share this bucket travel as one run. Buckets with one position are finished. In the others
-the buckets of the whole length are refined from those at later offsets: runs equal in
-whole are settled at once, and what is left compares window by window.
+share this bucket travel as one run. Buckets with one run are finished. In the others
+hashes of the whole length decide: runs equal in whole are settled at once, and what is left
+compares window by window.
 
 Bucket identifiers are 64-bit hashes, compared only within equal q-gram buckets, so every
 match agrees in 128 bits.
