@@ -21,7 +21,7 @@ TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 def test_all_queries_are_registered():
     names = contract.queries()
-    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 11))
+    assert all(any(q.startswith(f"op{n}_") for q in names) for n in range(1, 14))
     assert "pipeline" in names and "pipeline" not in contract.oracle_sql()
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import checkpoint_dir, scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # ASCII blanks only: the word rule shared by the word-based operators.
@@ -23,6 +23,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For loops: a checkpoint keeps what the optimizer inferred about its columns, and joins of
+    joins of checkpoints multiply that; a table read back starts afresh.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def lower_ascii(col: Column) -> Column:
     return F.translate(col, UPPER, UPPER.lower())
 
