@@ -1,4 +1,6 @@
 import math
+import random
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from pyspark.sql import functions as F
 
@@ -50,3 +52,33 @@ def test_one_rounding_and_no_cut_of_inputs(spark):
     assert mean_of(spark, [1e14 + 0.5, 1e14]) == 1e14 + 0.25
     assert mean_of(spark, [1e300, 1.0]) == 5e299
     assert mean_of(spark, [1 / 3, -1 / 3, 0.0]) == 0.0
+
+
+def slow_mean(values):
+    total = sum(Decimal(repr(v)).quantize(Decimal("1e-16"), rounding=ROUND_HALF_UP) for v in values)
+    return float((total / len(values)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
+
+
+def test_means_are_those_of_decimals(spark):
+    rng = random.Random(4)
+    groups = [[rng.choice([-1, 1]) * rng.random() * 10 ** rng.randrange(-4, 17) for _ in range(n)]
+              for n in (1, 2, 3, 7, 8, 40) for _ in range(6)]
+    groups += [[0.125, -0.125], [-0.005], [0.005], [-0.015, 0.005], [9e19, -9e19, 0.01], [-9e19] * 3,
+               [3.8549999999999995, 3.8550000000000004], [0.40199999999999997, 0.398, 0.4049999999999999]]
+    rows = [(g, v) for g, values in enumerate(groups) for v in values]
+    with localcontext() as context:
+        context.prec = 80
+        want = [slow_mean(values) for values in groups]
+    got = spark.createDataFrame(rows, "g INT, x DOUBLE").repartition(5).groupBy("g").agg(
+        rounded_mean("x").alias("m")).orderBy("g").collect()
+    assert [r.m for r in got] == want
+
+
+def test_large_sums_neither_fail_nor_switch(spark):
+    big = spark.range(14_000_000).select((F.col("id") * 0 + F.lit(9e14)).alias("x"))
+    assert big.agg(rounded_mean("x").alias("m")).first().m == 9e14
+    half = spark.range(4_000_000).select(F.lit(1e15 + 0.5).alias("x"))
+    assert half.agg(rounded_mean("x").alias("m")).first().m == 1e15 + 0.5
+    mixed = spark.range(2_000_000).select(F.when(F.col("id") == 0, F.lit(2e15)).otherwise(F.lit(0.01)).alias("x"))
+    exact = (Decimal(2 * 10 ** 15) + Decimal("0.01") * 1_999_999) / 2_000_000
+    assert mixed.agg(rounded_mean("x").alias("m")).first().m == float(round(exact, 2))

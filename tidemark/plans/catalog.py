@@ -19,13 +19,21 @@ from tidemark.operators.dedup import first_per_key, latest_by_aggregate, latest_
 from tidemark.operators.retention import retain
 from tidemark.operators.rollup import count_rows, daily_min_max
 from tidemark.plans.marts import daily_average, daily_sorted, report, report_sorted
-from tidemark.plans.runs import forecast_slots, load_observations, refresh
+from tidemark.plans.runs import (
+    append_observations,
+    forecast_slots,
+    load_observations,
+    read_model,
+    refresh,
+)
 from tidemark.plans.staging import legacy_staging, staging, staging_sorted, with_local_time
 from tidemark.schemas import (
     DAILY_COLUMNS, LEGACY_TOP_K, RAW_COLUMNS, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
 )
 from tidemark.session import checkpoint_dir, scratch_path
 from tidemark.sources.ids import assign_ids
+from tidemark.sources.keyed import KeyedTable
+from tidemark.sources.ledger import RawTable
 from tidemark.sources.payload import parse_payload, payload_rows
 from tidemark.sources.raw import observations, read_table, scan_raw, scan_wildcard
 from tidemark.sources.tables import (
@@ -332,8 +340,8 @@ def q_full_refresh_daily(spark, sf):
     """Two full refreshes into one place; the daily table holds the second one's days only."""
     out = scratch_path(spark, "refresh")
     refresh(spark, _raw(spark, sf), out, as_of=EARLIER_AS_OF)
-    paths = refresh(spark, _raw(spark, sf), out, as_of=AS_OF)
-    return spark.read.parquet(paths["daily_average"]).select(*DAILY_COLUMNS)
+    refresh(spark, _raw(spark, sf), out, as_of=AS_OF)
+    return read_model(spark, out, "daily_average").select(*DAILY_COLUMNS)
 
 
 # -- step 6: relational shapes ---------------------------------------------------------
@@ -447,6 +455,60 @@ def q_delete_by_key(spark, sf):
     return delete_where_equal(orders, "o_orderpriority", DELETE_PRIORITY)
 
 
+def _keyed_orders(spark, sf, df) -> KeyedTable:
+    table = KeyedTable(spark, scratch_path(spark, "orders-table"), ["o_orderkey"])
+    table.create(df)
+    return table
+
+
+def q_table_upsert(spark, sf):
+    """``upsert_by_key`` as a commit on a bucketed table."""
+    target, incoming = _order_slices(spark, sf)
+    table = _keyed_orders(spark, sf, target)
+    table.upsert(incoming)
+    return table.read()
+
+
+def q_table_insert(spark, sf):
+    """``insert_if_absent`` as a commit on a bucketed table."""
+    target, incoming = _order_slices(spark, sf)
+    table = _keyed_orders(spark, sf, target)
+    table.insert_if_absent(incoming)
+    return table.read()
+
+
+def q_table_delete(spark, sf):
+    """``delete_by_key`` as a commit on a bucketed table."""
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                            "o_totalprice", "o_orderdate", "o_orderpriority")
+    table = _keyed_orders(spark, sf, orders)
+    table.delete_where("o_orderpriority", DELETE_PRIORITY)
+    return table.read()
+
+
+def q_table_changes(spark, sf):
+    """One table after an upsert, a delete, an insert of the upserted rows and a compaction:
+    the deleted ones among them come back."""
+    target, incoming = _order_slices(spark, sf)
+    table = _keyed_orders(spark, sf, target)
+    table.upsert(incoming)
+    table.delete_where("o_orderpriority", DELETE_PRIORITY)
+    table.insert_if_absent(incoming.withColumn("o_orderstatus", F.lit("N")))
+    table.compact(least=3)
+    return table.read()
+
+
+def q_observation_append(spark, sf):
+    """Two batches of landed documents appended to one raw table. Both reserve ids from the
+    same state; the second one is sent twice."""
+    docs = _landed_docs(spark, sf)
+    table = RawTable(spark, scratch_path(spark, "raw-table"))
+    west = F.col("location.name") < "M"
+    for batch, chosen in (("west", west), ("east", ~west), ("east", ~west)):
+        append_observations(table, batch, docs.where(chosen), "value", inserted_at=AS_OF)
+    return table.read()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "offset_parse": q_offset_parse,
     "offset_parse_odd": q_offset_parse_odd,
@@ -498,4 +560,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_by_key": q_upsert_by_key,
     "insert_if_absent": q_insert_if_absent,
     "delete_by_key": q_delete_by_key,
+    "table_upsert": q_table_upsert,
+    "table_insert": q_table_insert,
+    "table_delete": q_table_delete,
+    "table_changes": q_table_changes,
+    "observation_append": q_observation_append,
 }

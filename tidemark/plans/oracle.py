@@ -193,6 +193,17 @@ SELECT c_custkey, view_name FROM (
 ) WHERE view_name LIKE """ + _lit(C.LIKE_DATASET)
 
 
+# Arrival in three steps; of the first, every 40th id comes with the last. The mark of a step is
+# the newest arrival of the steps before it, less twelve hours.
+LATE_STEPS = """steps AS (
+  SELECT *, CASE WHEN inserted_at < TIMESTAMP '2024-01-10' THEN CASE WHEN id % 40 = 7 THEN 3 ELSE 1 END
+                 WHEN inserted_at < TIMESTAMP '2024-01-20' THEN 2 ELSE 3 END AS step
+  FROM raw
+), marked AS (
+  SELECT s.*, (SELECT max(p.inserted_at) FROM steps p WHERE p.step < s.step) - INTERVAL 12 HOUR AS mark
+  FROM steps s
+)"""
+
 ORACLE_SQL: dict[str, str] = {
     "offset_parse": f"{BASE} SELECT id, city, utc_offset, CAST(off_s AS DOUBLE) AS offset_seconds FROM raw_off",
     "local_shift": f"""{BASE}
@@ -348,10 +359,49 @@ SELECT id, odd, CAST({offset_seconds('odd')} AS DOUBLE) AS offset_seconds FROM o
   SELECT city, CAST(weather_time_local AS DATE) AS date, temperature / 7.0 - 3.0 AS fine FROM stg)
 SELECT city, date, {rounded_mean('fine')} AS avg_fine, max(fine) AS max_fine, min(fine) AS min_fine
 FROM fine GROUP BY 1, 2""",
+    "observation_append": f"""{BASE}
+, landed AS (
+  SELECT p.city, CASE WHEN e.event_type = 'view' THEN NULL ELSE p.temperature END AS temperature,
+         p.weather_description, p.wind_speed, p.humidity, p.pressure, p.time,
+         TIMESTAMP '2024-01-20 12:00:00' AS inserted_at, p.utc_offset, FALSE AS is_forecast
+  FROM prow p JOIN events e ON p.id = e.event_id
+  WHERE e.event_type <> 'purchase'
+)
+SELECT row_number() OVER (
+         ORDER BY city >= 'M', city NULLS FIRST, time NULLS FIRST, temperature NULLS FIRST,
+                  weather_description NULLS FIRST, wind_speed NULLS FIRST,
+                  humidity NULLS FIRST, pressure NULLS FIRST, utc_offset NULLS FIRST) AS id,
+       *
+FROM landed""",
+    "table_changes": f"""{BASE}, upserted AS (
+  SELECT * FROM target t
+  WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.o_orderkey = t.o_orderkey)
+  UNION ALL SELECT * FROM incoming
+), kept AS (
+  SELECT * FROM upserted WHERE o_orderpriority IS DISTINCT FROM '1-URGENT'
+)
+SELECT * FROM kept
+UNION ALL
+SELECT o_orderkey, o_custkey, 'N' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+FROM incoming i WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.o_orderkey = i.o_orderkey)""",
+    "stream_windowed_latest": f"""{BASE}, {LATE_STEPS}
+SELECT * EXCLUDE (step, mark, rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY city, time
+                               ORDER BY inserted_at DESC NULLS FIRST, id DESC) AS rn
+  FROM marked WHERE mark IS NULL OR date_trunc('hour', inserted_at) + INTERVAL 1 HOUR > mark)
+WHERE rn = 1""",
+    "stream_late_rows": f"""{BASE}, {LATE_STEPS}
+SELECT * EXCLUDE (step, mark) FROM marked
+WHERE date_trunc('hour', inserted_at) + INTERVAL 1 HOUR <= mark""",
     "delete_by_key": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM orders WHERE o_orderpriority IS DISTINCT FROM {_lit(C.DELETE_PRIORITY)}""",
 }
 
+# Changes committed to a table give what the plain forms give.
+for _table, _plain in (("table_upsert", "upsert_by_key"), ("table_insert", "insert_if_absent"),
+                       ("table_delete", "delete_by_key")):
+    ORACLE_SQL[_table] = ORACLE_SQL[_plain]
+
 # Streaming queries end in the same tables as their batch forms.
 ORACLE_SQL["dedup_latest_agg"] = ORACLE_SQL["dedup_latest"]

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.columns import literal_frame
 from tidemark.functions.timeshift import offset_seconds, shift_by_seconds
 from tidemark.operators.dedup import first_per_key, latest_per_key
 from tidemark.operators.retention import retain
@@ -13,14 +14,39 @@ from tidemark.schemas import LEGACY_TOP_K, RETENTION_HOURS, STAGING_COLUMNS
 from tidemark.sources.raw import scan_raw
 
 
+OFFSET_TEXTS = 1000  # distinct offset texts that are parsed apart; any more are parsed row by row
+
+
+def offset_dictionary(raw: DataFrame, offset_col: str, most: int = OFFSET_TEXTS
+                      ) -> DataFrame | None:
+    """(``_offset_text``, ``_offset_s``) of the distinct offset texts of a table.
+
+    Runs a job over that one column. None for a stream, and where there are more than ``most``
+    texts: the dictionary is broadcast, so its size is counted first.
+    """
+    if raw.isStreaming:
+        return None
+    texts = raw.select(offset_col).where(F.col(offset_col).isNotNull()).distinct() \
+        .limit(most + 1).collect()
+    if len(texts) > most:
+        return None
+    rows = literal_frame(raw.sparkSession, [(t[0],) for t in texts] or [("",)], ["_offset_text"])
+    return rows.withColumn("_offset_s", offset_seconds("_offset_text"))
+
+
 def with_local_time(raw: DataFrame, offset_col: str = "utc_offset") -> DataFrame:
     """``*`` plus the parsed offset (seconds) and ``time_local_tz``.
 
-    The offset text is parsed once per row and reused for every shifted column.
+    Every distinct offset text is parsed once and joined back, so no fact row is parsed.
     """
-    return raw.withColumn("_offset_s", offset_seconds(offset_col)).withColumn(
-        "time_local_tz", shift_by_seconds("time", "_offset_s")
-    )
+    dictionary = offset_dictionary(raw, offset_col)
+    if dictionary is None:
+        parsed = raw.withColumn("_offset_s", offset_seconds(offset_col))
+    else:
+        parsed = raw.join(F.broadcast(dictionary),
+                          raw[offset_col] == dictionary["_offset_text"], "left") \
+            .drop("_offset_text")
+    return parsed.withColumn("time_local_tz", shift_by_seconds("time", "_offset_s"))
 
 
 def staging(raw: DataFrame, as_of=None, hours: int = RETENTION_HOURS) -> DataFrame:

@@ -1,16 +1,12 @@
-"""Table maintenance without MERGE: append, full refresh, upsert,
-insert-if-absent and delete-by-key.
+"""Table maintenance without MERGE: append, upsert, insert-if-absent and delete-by-key.
 
 Parquet tables have no ``MERGE INTO``; every change is a DataFrame plan
-(anti-join + union). A commit writes the whole new version beside the table
-first and then swaps the folders by rename, so a plan may read the table it
-replaces, and a write that fails leaves the old version in place.
+(anti-join + union). ``sources.versions`` commits whole tables, and
+``sources.keyed`` commits changes of single keys.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -124,42 +120,11 @@ def append(df: DataFrame, path: str) -> None:
     df.select(*RAW_COLUMNS).write.mode("append").parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
+def create_schema(spark: SparkSession, name: str) -> None:
+    """``CREATE SCHEMA IF NOT EXISTS`` in the session's catalog."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name}")
 
-def overwrite(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full refresh of the table at ``path``, which ``df`` may read.
 
-    The new version is written beside the table and then takes its place by rename;
-    partitions that left the data go with the old version. Nothing changes if the
-    write fails.
-    """
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    fresh, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        # rows of one partition value meet in few tasks, split where they are many
-        writer = df.hint("rebalance", *partition_by).write.mode("errorifexists") \
-            .partitionBy(*partition_by)
-    writer.parquet(fresh)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    live = hadoop(path)
-    fs = live.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(live) and not fs.rename(live, hadoop(old)):
-        raise RuntimeError(f"could not move the old version of {path}")
-    if not fs.rename(hadoop(fresh), live):
-        raise RuntimeError(f"could not move the new version to {path}")
-    fs.delete(hadoop(old), True)
-
-
-def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Replace only the partitions present in ``df`` (dynamic overwrite)."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def append_named(df: DataFrame, table: str) -> None:
+    """Append raw rows to a catalog table, ``schema.table``; columns go by name."""
+    df.select(*RAW_COLUMNS).write.mode("append").format("parquet").saveAsTable(table)

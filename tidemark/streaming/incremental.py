@@ -4,16 +4,14 @@ The scheduled full refresh becomes a stream over a landing folder:
 
 * ``ingest``: new files -> raw rows -> append (exactly once through the
   stream checkpoint), ``trigger(availableNow=True)`` for scheduled runs.
-* ``merge_latest``: each micro-batch is reduced latest-wins and merged into a
-  table partitioned by slot date. Only the partitions the batch touches are
-  read and rewritten (dynamic partition overwrite); the merged rows are
-  checkpointed first so the write never reads the files it replaces. A
-  replayed batch merges to the same result (latest-wins is idempotent). Rows
-  without a slot time share one partition of their own.
-* ``refresh_batch``: after the merge, the daily rollup is recomputed for the
-  local dates of the batch and of the rows it replaced; the daily table, one
-  row per key and day, is then swapped whole, so a date that lost all its rows
-  goes.
+* ``merge_latest``: each micro-batch is reduced latest-wins and merged into a versioned
+  table cut by slot date. Only the dates the batch touches are read and written anew, to
+  fresh folders, and one commit puts them in force together with the epoch's number: a merge
+  stopped half way changes nothing, and a replayed epoch that was committed is skipped. Rows
+  without a slot time share one part of their own.
+* ``run_refresh``: the retained rows and the daily rollup by additive state
+  (``streaming.daily_state``).
+* ``merge_with_late``: the merge under the same rule for late rows, which keeps them in a table.
 * ``windowed_latest``: the state-store form for event-time sources: a
   watermark on arrival time bounds the state, rows are pre-reduced per
   (key, arrival hour) and the merge finishes latest-wins across hours.
@@ -26,35 +24,25 @@ micro-batch is a static DataFrame.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.functions.timeshift import hour_floor
 from tidemark.operators.dedup import latest_by_aggregate, latest_per_key
-from tidemark.operators.retention import retain
-from tidemark.plans.marts import daily_average
-from tidemark.plans.staging import with_local_time
-from tidemark.schemas import RAW_COLUMNS, RETENTION_HOURS, STAGING_COLUMNS
-from tidemark.functions.timeshift import shift_by_seconds
+from tidemark.schemas import RAW_COLUMNS, RETENTION_HOURS
 from tidemark.session import checkpoint_dir
-from tidemark.sources.tables import overwrite, overwrite_partitions, path_exists
-
-SLOT_DATE = "_slot_date"
-
-
-# partition of rows whose slot time is NULL
-NO_DATE = "0001-01-01"
-
+from tidemark.sources.versions import Store, Version
+from tidemark.streaming.daily_state import (
+    daily_sink,
+    epoch_done,
+    epoch_notes,
+    part_names,
+    slot_part,
+)
 
-def read_table_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if path_exists(spark, path) else None
-
-
-def slot_date(time_col: str = "time"):
-    return F.coalesce(F.to_date(F.col(time_col)), F.lit(NO_DATE).cast("date"))
+LATEST, LATE = "latest", "late"
 
 
 def read_landing(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None,
@@ -83,131 +71,55 @@ def ingest(raw_stream: DataFrame, target_path: str, checkpoint: str) -> Streamin
 
 def merge_latest(
     batch: DataFrame, target_path: str, keys=("city", "time"), order_col: str = "inserted_at",
-    tie_col: str = "id", date_of: str = "time",
-) -> None:
-    """Merge one micro-batch into the latest-wins table at ``target_path``."""
+    tie_col: str = "id", date_of: str = "time", stream: str = "", epoch: int | None = None,
+) -> Version:
+    """Merge one micro-batch into the latest-wins table of the store at ``target_path``."""
     spark = batch.sparkSession
-    checkpoint_dir(spark)
-    keys = list(keys)
-    rows = batch.withColumn(SLOT_DATE, slot_date(date_of))
-    current = read_table_if_exists(spark, target_path)
-    if current is not None:
-        touched = rows.select(SLOT_DATE).distinct()
-        rows = current.join(touched, SLOT_DATE, "left_semi").unionByName(rows)
-    # the merge reads the partitions it replaces: materialise it first
-    merged = latest_per_key(rows, keys, order_col, tie_col).checkpoint(eager=True)
-    if not merged.isEmpty():
-        overwrite_partitions(merged, target_path, [SLOT_DATE])
-
-
-def _with_persisted(batch: DataFrame, fn) -> None:
-    """Run ``fn`` on a micro-batch kept in executor memory/disk, so the
-    several actions of a merge do not re-read the batch's source files."""
-    kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fn(kept)
-    finally:
-        kept.unpersist()
-
-
-def latest_wins_sink(target_path: str, **kw):
-    # Not persisted: this sink also receives the output of a stateful
-    # aggregation (``windowed_latest``), and caching that micro-batch makes the
-    # optimizer fail on PySpark 4.1 (reproduced with 8 shuffle partitions).
+    store = Store(spark, target_path)
+    base = store.latest()
+    if epoch_done(base, stream, epoch):
+        return base
+    touched = part_names(batch, slot_part(date_of))
+    staged = []
+    if touched:
+        current = store.read(LATEST, base, touched)
+        rows = batch if current is None else current.unionByName(batch)
+        merged = latest_per_key(rows, list(keys), order_col, tie_col)
+        staged = [store.stage(LATEST, merged, slot_part(date_of), touched)]
+    return store.commit(staged, base, epoch_notes(base, stream, epoch))
+
+
+def latest_wins_sink(target_path: str, stream: str = "", **kw):
     def _sink(batch: DataFrame, epoch_id: int) -> None:
-        merge_latest(batch, target_path, **kw)
+        # Written once: the sink also receives the output of a stateful aggregation, which
+        # should run one time only, and caching that fails in the optimizer of PySpark 4.1.
+        checkpoint_dir(batch.sparkSession)
+        merge_latest(batch.checkpoint(eager=True), target_path, stream=stream, epoch=epoch_id, **kw)
     return _sink
 
 
 def run_latest_wins(raw_stream: DataFrame, target_path: str, checkpoint: str) -> StreamingQuery:
     return (
         raw_stream.select(*RAW_COLUMNS).writeStream
-        .foreachBatch(latest_wins_sink(target_path))
+        .foreachBatch(latest_wins_sink(target_path, stream=checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
-def read_latest(spark: SparkSession, target_path: str) -> DataFrame:
-    return spark.read.parquet(target_path).select(*RAW_COLUMNS)
-
-
-# -- R3: staging + daily refresh of touched dates -----------------------------------
+def read_latest(spark: SparkSession, target_path: str, version: Version | None = None) -> DataFrame:
+    return Store(spark, target_path).read(LATEST, version).select(*RAW_COLUMNS)
 
-def _retained(batch: DataFrame, as_of, hours: int) -> DataFrame:
-    return retain(with_local_time(batch.select(*RAW_COLUMNS)), as_of=as_of, hours=hours) \
-        .drop("_offset_s")
-
-
-def staging_from_retained(df: DataFrame) -> DataFrame:
-    """Staging columns from the retained latest-wins table."""
-    local = with_local_time(df.select(*RAW_COLUMNS))
-    return local.select(
-        "id", "city", "temperature", "weather_description", "wind_speed", "humidity",
-        "pressure", F.col("time").alias("weather_time_utc"),
-        F.col("time_local_tz").alias("weather_time_local"),
-        shift_by_seconds("inserted_at", "_offset_s").alias("inserted_at_local"),
-        "is_forecast",
-    ).select(*STAGING_COLUMNS)
-
-
-def refresh_batch(batch: DataFrame, staging_path: str, daily_path: str, as_of,
-                  hours: int = RETENTION_HOURS) -> None:
-    """Retention, latest-wins merge, then rebuild the daily rows of touched dates.
-
-    Retention is a per-row filter, so applying it to each batch before the
-    merge gives the same table as applying it to all rows before the dedup
-    (for a fixed ``as_of``).
-    """
-    spark = batch.sparkSession
-    kept = _retained(batch, as_of, hours)
-    local_date = F.to_date("time_local_tz").alias("date")
-    touched = kept.select(local_date)
-    current = read_table_if_exists(spark, staging_path)
-    if current is not None:
-        # a newer row may sit on another local date than the one it replaces
-        keys = kept.select(F.col("city").alias("_c"), F.col("time").alias("_t"),
-                           slot_date().alias(SLOT_DATE)).distinct()
-        replaced = current.join(keys, SLOT_DATE).filter(
-            F.col("city").eqNullSafe(F.col("_c")) & F.col("time").eqNullSafe(F.col("_t")))
-        touched = touched.unionByName(with_local_time(replaced).select(local_date))
-    touched = touched.distinct().checkpoint(eager=True)
-    merge_latest(kept.select(*RAW_COLUMNS), staging_path)
-    table = read_table_if_exists(spark, staging_path)
-    if table is None or touched.isEmpty():
-        return
-    # An offset is less than a day, so a local date is within one day of the slot date.
-    # The two bounds are scalars, so they prune partitions; rows without a local date have
-    # no bound.
-    span = touched.agg(F.min("date").alias("lo"), F.max("date").alias("hi"),
-                       F.bool_or(F.col("date").isNull()).alias("open")).first()
-    if not span["open"]:
-        day = dt.timedelta(days=1)
-        table = table.filter(F.col(SLOT_DATE).between(F.lit(span["lo"] - day),
-                                                      F.lit(span["hi"] + day)))
-    stg = staging_from_retained(table)
-    marked = touched.select(F.col("date").alias("_d"))
-    daily = daily_average(stg)
-    daily = daily.join(marked, daily["date"].eqNullSafe(marked["_d"]), "left_semi")
-    old = read_table_if_exists(spark, daily_path)
-    if old is not None:
-        daily = old.join(marked, old["date"].eqNullSafe(marked["_d"]), "left_anti") \
-            .unionByName(daily.select(*old.columns))
-    overwrite(daily, daily_path)
-
-
-def refresh_sink(staging_path: str, daily_path: str, as_of, hours: int = RETENTION_HOURS):
-    def _sink(batch: DataFrame, epoch_id: int) -> None:
-        _with_persisted(batch, lambda b: refresh_batch(b, staging_path, daily_path, as_of, hours))
-    return _sink
 
+# -- R3: retained rows and daily rollup ----------------------------------------------
 
-def run_refresh(raw_stream: DataFrame, staging_path: str, daily_path: str, checkpoint: str,
-                as_of, hours: int = RETENTION_HOURS) -> StreamingQuery:
+def run_refresh(raw_stream: DataFrame, root: str, checkpoint: str, as_of,
+                hours: int = RETENTION_HOURS) -> StreamingQuery:
+    """Keep the store at ``root`` (see ``daily_state``) up to date with the stream."""
     return (
         raw_stream.select(*RAW_COLUMNS).writeStream
-        .foreachBatch(refresh_sink(staging_path, daily_path, as_of, hours))
+        .foreachBatch(daily_sink(root, as_of, hours, stream=checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -231,12 +143,79 @@ def windowed_latest(raw_stream: DataFrame, delay: str = f"{RETENTION_HOURS} hour
     return reduced.select(*RAW_COLUMNS)
 
 
+def merge_with_late(batch: DataFrame, root: str, delay_hours: int = RETENTION_HOURS,
+                    arrival_col: str = "inserted_at", stream: str = "",
+                    epoch: int | None = None) -> Version:
+    """Latest-wins merge that keeps the rows which the watermark of :func:`windowed_latest` drops.
+
+    The mark is the newest arrival of the batches before, less the delay, and a row is
+    late once its arrival hour ends by the mark. Late rows go to the table ``late``; the others are
+    merged. Both tables, the next mark and the epoch's number are one commit; its notes count
+    the late rows of the batch and of all batches.
+    """
+    store = Store(batch.sparkSession, root)
+    base = store.latest()
+    if epoch_done(base, stream, epoch):
+        return base
+    newest = base.notes.get("newest")
+    mark = (F.lit(newest).cast("timestamp_ntz") if newest else F.lit(None).cast("timestamp_ntz")) \
+        - F.make_dt_interval(F.lit(0), F.lit(delay_hours))
+    hour_end = hour_floor(arrival_col) + F.make_dt_interval(F.lit(0), F.lit(1))
+    late = F.coalesce(hour_end <= mark, F.lit(False))
+    seen = batch.agg(F.max(arrival_col).cast("string").alias("newest"),
+                     F.count_if(late).alias("late")).first()
+    fresh = batch.where(~late)
+    touched = part_names(fresh, slot_part())
+    staged = []
+    if touched:
+        current = store.read(LATEST, base, touched)
+        rows = fresh if current is None else current.unionByName(fresh)
+        staged.append(store.stage(LATEST, latest_per_key(rows), slot_part(), touched))
+    if seen.late or LATE not in base.tables:
+        # late rows are only ever added: a part for every batch that has some
+        part = F.lit(f"{base.number + 1:020d}")
+        staged.append(store.stage(LATE, batch.where(late), part, set()))
+    notes = epoch_notes(base, stream, epoch)
+    notes["newest"] = max(filter(None, [newest, seen.newest]), default=None)
+    notes["late"] = seen.late
+    notes["late_total"] = base.notes.get("late_total", 0) + seen.late
+    return store.commit(staged, base, notes)
+
+
+def late_sink(root: str, delay_hours: int = RETENTION_HOURS, stream: str = ""):
+    def _sink(batch: DataFrame, epoch_id: int) -> None:
+        held = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            merge_with_late(held, root, delay_hours, stream=stream, epoch=epoch_id)
+        finally:
+            held.unpersist()
+    return _sink
+
+
+def run_with_late(raw_stream: DataFrame, root: str, checkpoint: str,
+                  delay_hours: int = RETENTION_HOURS) -> StreamingQuery:
+    return (
+        raw_stream.select(*RAW_COLUMNS).writeStream
+        .foreachBatch(late_sink(root, delay_hours, stream=checkpoint))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """Rows that the state operators of a finished query dropped as late (after the reduction
+    inside the batch, so rows of one key and hour may count once)."""
+    return sum(op["numRowsDroppedByWatermark"] for progress in query.recentProgress
+               for op in progress["stateOperators"])
+
+
 def run_windowed_latest(raw_stream: DataFrame, target_path: str, checkpoint: str,
                         delay: str = f"{RETENTION_HOURS} hours") -> StreamingQuery:
     return (
         windowed_latest(raw_stream, delay).writeStream
         .outputMode("update")
-        .foreachBatch(latest_wins_sink(target_path))
+        .foreachBatch(latest_wins_sink(target_path, stream=checkpoint))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
