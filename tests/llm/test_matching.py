@@ -1,6 +1,7 @@
 """SimHash, line alignment, byte dedup and decontamination against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -249,6 +250,87 @@ def test_byte_dedup_query(spark):
     assert got == slow_byte_dedup(rows_of(docs), 400)
 
 
+def byte_text(seed, n, letters=b"abcdefghij"):
+    rng = random.Random(seed)
+    return bytes(rng.choice(letters) for _ in range(n)).decode()
+
+
+def test_byte_refinement_ranks_windows_exactly():
+    rng = random.Random(3)
+    for length in (1, 2, 5, 8, 9, 20, 50):
+        runs = [byte_text(k, length + rng.randrange(40), b"ab").encode() for k in range(30)]
+        starts, hit = suffix_dedup.repeated_windows(runs, length)
+        count = Counter(r[k:k + length] for r in runs for k in range(len(r) - length + 1))
+        for s, r in zip(starts, runs):
+            for k in range(len(r) - length + 1):
+                assert hit[s + k] == (count[r[k:k + length]] > 1)
+        got = {(int(r), int(x)) for r, lo, hi in zip(*suffix_dedup.window_spans(runs, length))
+               for x in range(lo, hi)}
+        want = {(n, x) for n, r in enumerate(runs) for k in range(len(r) - length + 1)
+                if count[r[k:k + length]] > 1 for x in range(k, k + length)}
+        assert got == want
+
+
+def test_null_ids_with_equal_short_hashes_keep_their_own_text(spark):
+    """Two texts of one 32-bit hash: the one that nothing repeats stays whole."""
+    text = F.repeat(F.md5(F.col("id").cast("string")), 4)
+    pair = spark.range(200_000).select(text.alias("t")).groupBy(F.hash("t")).agg(
+        F.collect_list("t").alias("ts")).where("size(ts) > 1").first().ts
+    rows = [(None, pair[0], None, None, 0), (1, pair[0], None, None, 0), (None, pair[1], None, None, 0)]
+    docs = documents(spark, rows)
+    got = Counter(map(tuple, suffix_dedup.dedup_bytes(docs, length=100).collect()))
+    assert got == slow_byte_dedup(rows_of(docs), 100)
+    assert sorted(r[2] for r in got) == [0, 128, 128]
+
+
+def test_many_copies_without_ids_give_one_set_of_spans(spark):
+    text = byte_text("copy", 700)
+    rows = [(None, text, None, None, 0)] * 2000 + [(5, text[100:400] + byte_text("rest", 300), None, None, 0)]
+    docs = documents(spark, rows)
+    spans = suffix_dedup.removed_spans(suffix_dedup.keyed(docs, "doc_id", "text"), 50, 100)
+    assert spans.agg(F.max(F.size("spans"))).first()[0] < 100
+    got = Counter(map(tuple, suffix_dedup.dedup_bytes(docs, length=50, many=100).collect()))
+    small = [rows[0], rows[1], rows[-1]]
+    want = slow_byte_dedup([(r[0], r[1]) for r in small], 50)
+    assert set(got) == set(want) and got[next(x for x in got if x[0] is None)] == 2000
+
+
+@pytest.mark.parametrize("block", [suffix_dedup.BLOCK_BYTES, 700])
+def test_long_texts_are_read_in_overlapping_pieces(spark, monkeypatch, block):
+    monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
+    long = byte_text("long", 20_000)
+    rows = [(1, long, None, None, 0), (2, byte_text("b", 333) + long[650:790] + byte_text("c", 50), None, None, 0),
+            (3, long[5_000:9_000], None, None, 0), (4, "ab" * 900, None, None, 0)]
+    docs = documents(spark, rows)
+    got = Counter(map(tuple, suffix_dedup.dedup_bytes(docs, length=50).collect()))
+    assert got == slow_byte_dedup(rows_of(docs), 50)
+    for sizes in ([0, 10, 49, 50, 51, 749, 750, 5_000], [0]):
+        parts = [p for lot in suffix_dedup.pieces(sizes, 50, 700) for p in lot]
+        windows = Counter((k, x) for k, lo, hi in parts for x in range(lo, hi - 49))
+        assert windows == Counter((k, x) for k, n in enumerate(sizes) for x in range(n - 49))
+
+
+def test_long_passages_are_searched_in_pieces(monkeypatch):
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(0, 1000, 60_000).astype(np.int32)
+    items = [{"item": 1, "row": 1, "all": tokens[30_100:30_140].tolist(),
+              "question": tokens[30_100:30_120].tolist(), "answer": tokens[30_120:30_140].tolist(),
+              "terms": np.unique(tokens[30_100:30_140]).tolist(), "impacts": None},
+             {"item": 2, "row": 2, "all": tokens[39_990:40_020].tolist(),
+              "question": tokens[39_990:40_000].tolist(), "answer": tokens[40_000:40_020].tolist(),
+              "terms": np.unique(tokens[39_990:40_020]).tolist(), "impacts": None}]
+    for i in items:
+        i["impacts"] = [1 / len(i["terms"])] * len(i["terms"])
+    classes = [decontaminate.LengthClass(items, 64, 0.8, 5)]
+    offsets = np.array([0, 60_000])
+    whole = decontaminate.find_hits(offsets, tokens, classes, 0.8)
+    monkeypatch.setattr(decontaminate, "stretches",
+                        lambda o, f, lo, hi, size, limit, real=decontaminate.stretches:
+                        real(o, f, lo, hi, size, 10_000))
+    assert {k[1] for k in whole} == {1, 2}
+    assert decontaminate.find_hits(offsets, tokens, classes, 0.8) == whole
+
+
 def test_decontamination_query_is_brute_force(spark):
     token = re.compile(r"[^\W_]+")
 

@@ -205,21 +205,37 @@ def find_hits(offsets: np.ndarray, flat: np.ndarray, classes: list[LengthClass],
               overlap: float) -> dict[tuple[int, int], tuple]:
     """(row, item row) -> (item, score, overlaps) of the confirmed hits of token rows."""
     most = max([x.blocks / x.size for x in classes], default=1.0)
+    limit = max(20_000, min(500_000, int(8e6 / most)))
     out: dict = {}
-    for lo, hi in row_blocks(offsets, max(20_000, min(500_000, int(8e6 / most)))):
-        ends, part = offsets[lo:hi + 1] - offsets[lo], flat[offsets[lo]:offsets[hi]]
+    for lo, hi in row_blocks(offsets, limit):
         for c in classes:
-            for r, start in c.passages(ends, part):
-                window = part[start:min(start + 2 * c.size, int(ends[r + 1]))]
-                for n, score in c.search(np.unique(window).tolist()):
-                    got = [share(window, s) for s in c.shingles[n]]
-                    if got[0] >= overlap and got[1] > 0 and got[2] > 0:
-                        key = (lo + r, c.items[n]["row"])
-                        row = (c.items[n]["item"], score, *got)
-                        out[key] = max(out.get(key, row), row)
+            for first, ends, part in stretches(offsets, flat, lo, hi, c.size, limit):
+                for r, start in c.passages(ends, part):
+                    end = offsets[lo + r + 1]
+                    at = first + start
+                    window = flat[at:min(at + 2 * c.size, int(end))]
+                    for n, score in c.search(np.unique(window).tolist()):
+                        got = [share(window, s) for s in c.shingles[n]]
+                        if got[0] >= overlap and got[1] > 0 and got[2] > 0:
+                            key = (lo + r, c.items[n]["row"])
+                            row = (c.items[n]["item"], score, *got)
+                            out[key] = max(out.get(key, row), row)
     return out
 
 
+def stretches(offsets: np.ndarray, flat: np.ndarray, lo: int, hi: int, size: int, limit: int):
+    """Rows lo to hi as (first token, offsets, tokens). A single row above ``limit`` comes in
+    pieces of whole cells that overlap by one cell, so every passage lies in one of them."""
+    first, last = int(offsets[lo]), int(offsets[hi])
+    if hi - lo > 1 or last - first <= limit:
+        yield first, offsets[lo:hi + 1] - first, flat[first:last]
+        return
+    step = max(1, limit // size) * size
+    for at in range(first, last, step):
+        stop = min(last, at + step + size)
+        yield at, np.array([0, stop - at], dtype=np.int64), flat[at:stop]
+
+
 def item_slices(items: DataFrame, item_col: str, text_col: str, answer_col: str | None):
     """Broadcast slices of the index: items by length class, bounded in words each."""
     index, slices = index_rows(items, item_col, text_col, answer_col)
