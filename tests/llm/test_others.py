@@ -176,6 +176,63 @@ def test_mixing_hits_targets_and_repeats(spark):
     assert {(r["target"], r["taken"]) for r in mixing.mix(blank).collect()} == {(0.0, 0)}
 
 
+def test_mixing_counts_repeated_rows(spark, monkeypatch):
+    """A third of all rows repeat one id and text: the targets hold and no chunk grows."""
+    monkeypatch.setattr(mixing, "REPEATS", 7)
+    rows = [(k, "w " * (1 + k % 9), "en", "a" if k % 2 else "b", 0) for k in range(600)]
+    rows += [(7, "same text here", "en", "a", 0)] * 300 + [(None, None, "en", None, 0)] * 20
+    docs = documents(spark, rows)
+    one, two = (sorted(map(tuple, mixing.mix(d).collect()), key=str) for d in (docs, docs.repartition(3)))
+    assert one == two and len(one) == len(rows)
+    for source in ("a", "b"):
+        mine = [r for r in one if r[2] == source]
+        assert abs(sum(r[5] for r in mine) - mine[0][4]) <= 9
+    same = [r for r in one if r[0] == 7 and r[1] == 3]
+    ratio = same[0][4] / same[0][3]
+    assert len(same) == 300 and abs(sum(r[5] for r in same) - ratio * 900) <= 3
+    assert {r[5] // 3 for r in same} <= {int(ratio), int(ratio) + 1}
+
+
+def slow_fold(items, seed):
+    """Pairs of one chunk in order, with the draws of the operator: (words, got) by draw."""
+    left, out = None, {}
+    for words, draw, mass, u_of in items:
+        if left is None:
+            left = [words, draw, mass]
+            continue
+        x = [words, draw, mass]
+        up, down = min(left[0] - left[2], x[2]), min(left[2], x[0] - x[2])
+        rises = u_of(left[1], draw) * (up + down) < down
+        if rises:
+            over = left[0] - left[2] <= x[2]
+            left[2], x[2] = left[2] + up, x[2] - up
+        else:
+            over = left[2] <= x[0] - x[2]
+            left[2], x[2] = left[2] - down, x[2] + down
+        gone, kept = (left, x) if over else (x, left)
+        out[gone[1]] = gone[0] if gone[2] > gone[0] / 2 else 0
+        left = kept
+    return out, left
+
+
+def test_rounding_follows_the_pairs_one_by_one(spark):
+    rng = random.Random(8)
+    rows = [(rng.randrange(1, 40), k * 7919, k) for k in range(60)]
+    frame = spark.createDataFrame([("s", w, rng.uniform(0.05, 0.95) * w, d, i, 1) for w, d, i in rows],
+                                  "source string, words long, mass double, draw long, id long, m long")
+    got = {r.draw: r.got for r in mixing.pivotal(frame).collect()}
+    order = sorted(((r.words, r.draw, r.mass) for r in frame.collect()), reverse=True)
+    pairs = [(a[1], b[1]) for a in order for b in order]
+    asked = spark.createDataFrame(pairs, "a long, b long").select("a", "b", F.pmod(
+        F.xxhash64("a", "b", F.lit(0)), F.lit(1 << 52)).alias("h")).collect()
+    draws = {(r.a, r.b): r.h / (1 << 52) for r in asked}
+    want, left = slow_fold([(*o, lambda a, b: draws[a, b]) for o in order], 0)
+    want[left[1]] = left[0] if 2 * left[2] >= left[0] else 0
+    assert got == want
+    total = sum(r.mass for r in frame.collect())
+    assert abs(sum(got.values()) - total) <= max(r.words for r in frame.collect()) / 2
+
+
 def test_mixing_many_levels_is_unbiased(spark):
     rows = [(k, "w " * (1 + k % 9), "en", "hot" if k % 3 else "b", 0) for k in range(3000)]
     got = mixing.mix(documents(spark, rows, extra=False)).toPandas()

@@ -10,7 +10,8 @@ logarithm of the document count. The one document left per source is rounded to
 side, so a source's taken words miss its target by half of one document at most.
 
 Only DataFrame functions run here. Chunks come from a hash, so a source with a third of
-all rows is spread over many tasks; no task holds more than a chunk at once. All draws
+all rows is spread over many tasks; rows that repeat id and text are counted first and count as
+one, so no task holds more than a chunk at once. All draws
 are hashes of the document's own columns, so reruns and recomputed tasks agree.
 
 Edge cases: null text has size 0; documents of size 0 take 0 words. Null is a source of
@@ -32,6 +33,7 @@ MOST_COPIES = 2.0
 CHUNK = 96
 LAST_LEVEL = 2 * CHUNK
 BROADCAST_SOURCES = 100_000
+REPEATS = 10_000
 
 
 def word_count(col: Column) -> Column:
@@ -115,8 +117,8 @@ def by_source(rows: DataFrame, small: DataFrame) -> DataFrame:
 def pivotal(docs: DataFrame) -> DataFrame:
     """Decide every fractional document, level by level up the reduction tree.
 
-    ``docs`` has source, words (> 0), mass (strictly between 0 and words), draw and id.
-    Returns the same rows with ``got``, 0 or ``words``.
+    ``docs`` has source, words (> 0), mass (strictly between 0 and words), draw, id and m (carried
+    along). Returns the same rows with ``got``, 0 or ``words``.
     """
     done = []
     level, current = 0, docs.withColumn("got", F.lit(0).cast("long"))
@@ -127,7 +129,7 @@ def pivotal(docs: DataFrame) -> DataFrame:
         chunks = F.when(F.col("n") <= LAST_LEVEL, 1).otherwise(F.ceil(F.col("n") / CHUNK))
         keyed = by_source(current, counts).withColumn(
             "chunk", F.pmod(F.xxhash64("draw", F.lit(level)), chunks))
-        items = F.sort_array(F.collect_list(F.struct("words", "draw", "id", "mass", "got")),
+        items = F.sort_array(F.collect_list(F.struct("words", "draw", "id", "mass", "got", "m")),
                              asc=False)
         folded = cut(keyed.groupBy("source", "chunk").agg(items.alias("items"))
                      .select("source", fold_chunk(F.col("items"), level).alias("f")))
@@ -148,24 +150,40 @@ def pivotal(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", weights=WEIGHTS, share=SHARE, most=MOST_COPIES) -> DataFrame:
     """doc_id, size, source, source_size, target, taken (words, repeats counted) per document."""
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-                        word_count(F.col(text_col)).alias("words"),
-                        F.xxhash64(F.col(id_col), F.col(text_col)).alias("draw"))
-    sized = cut(sized)
-    sizes = sized.groupBy("source").agg(F.sum("words").alias("source_size"))
+    # Rows that repeat id and text are one item with a count: they differ in nothing that the mix
+    # reads, so only the number of them that take a copy more has to be decided.
+    sized = cut(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                            word_count(F.col(text_col)).alias("words"),
+                            F.xxhash64(F.col(id_col), F.col(text_col)).alias("draw"))
+                .groupBy("source", "words", "draw", "id").agg(F.count(F.lit(1)).alias("m")))
+    sizes = sized.groupBy("source").agg(F.sum(F.col("words") * F.col("m")).alias("source_size"))
     targets = cut(source_targets(sizes, weights=weights, share=share, most=most))
     named = targets.withColumnRenamed("source", "t_source")
     rows = by_source(sized, named)
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")) \
         .otherwise(F.lit(0.0))
     whole = F.floor(ratio + F.lit(1e-12))
-    rows = rows.withColumn("copies", whole) \
-        .withColumn("mass", F.greatest(F.lit(0.0), (ratio - whole)) * F.col("words"))
+    extra = F.greatest(F.lit(0.0), ratio - whole) * F.col("m")
+    sure = F.floor(extra + F.lit(1e-12))
+    rows = rows.withColumns({"copies": whole, "sure": sure, "mass": F.greatest(
+        F.lit(0.0), extra - sure) * F.col("words")})
     part = (F.col("mass") > 1e-9) & (F.col("words") > 0)
     fixed = rows.where(~part).withColumn("got", F.lit(0).cast("long"))
-    decided = pivotal(rows.where(part).select("source", "words", "mass", "draw", "id"))
-    decided = by_source(decided, named).withColumn("copies", whole)
-    cols = [F.col("id").alias(id_col), F.col("words").alias("size"), F.col("source"),
-            "source_size", "target",
-            (F.col("copies") * F.col("words") + F.col("got")).cast("long").alias("taken")]
-    return fixed.select(*cols).unionByName(decided.select(*cols))
+    decided = pivotal(rows.where(part).select("source", "words", "mass", "draw", "id", "m"))
+    decided = by_source(decided, named).withColumns({"copies": whole, "sure": sure})
+    more = F.col("sure") + (F.col("got") > 0).cast("long")
+
+    def spread(df: DataFrame) -> DataFrame:
+        """The rows again, ``REPEATS`` of an item at a time."""
+        lots = F.sequence(F.lit(0).cast("long"), F.floor((F.col("m") - 1) / REPEATS))
+        df = df.withColumn("more", more).withColumn("lot", F.explode(lots))
+        here = F.least(F.lit(REPEATS).cast("long"), F.col("m") - F.col("lot") * REPEATS)
+        df = df.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), here)))
+        copies = F.col("copies") + (F.col("lot") * REPEATS + F.col("nth") <= F.col("more")).cast("long")
+        return df.select(F.col("id").alias(id_col), F.col("words").alias("size"), F.col("source"),
+                         "source_size", "target", (copies * F.col("words")).cast("long").alias("taken"))
+
+    return spread(fixed.select("id", "words", "source", "source_size", "target", "m", "copies",
+                               "sure", "got")).unionByName(
+        spread(decided.select("id", "words", "source", "source_size", "target", "m", "copies",
+                              "sure", "got")))
