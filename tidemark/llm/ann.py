@@ -3,7 +3,7 @@
 A tree has one random direction per level and a median per node, both fitted on a
 bounded sample; every row is indexed. A query walks all trees through one shared priority
 queue, nearest split first, until the leaves it has opened hold ``visits`` times the
-indexed rows (``LEAST_VISITS`` at least). The leaf candidates are reranked by exact cosine.
+indexed rows, at every size of table. The leaf candidates are reranked by exact cosine.
 
 Equal vectors are one class with its k + 1 smallest ids: no query can need more of them,
 so a very common vector costs one row. Leaves are dealt to tasks in lots; a leaf larger than
@@ -35,9 +35,9 @@ LEAF = 48
 SAMPLE = 20_000
 SAMPLE_CELLS = 8_000_000  # sampled rows times dimensions
 VISITS = 0.95
-LEAST_VISITS = 4_000
 BLOCK = 4_096
 LOT = 16_384
+QUERY_PART = 4_096  # distinct queries that meet a lot in one task
 
 
 class Forest:
@@ -115,8 +115,7 @@ def unit_rows(m: np.ndarray) -> np.ndarray:
 
 def nearest(vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "vec_id",
             vector_col: str = "embedding", trees: int = TREES, leaf: int = LEAF,
-            sample: int = SAMPLE, visits: float = VISITS,
-            least_visits: int = LEAST_VISITS) -> DataFrame:
+            sample: int = SAMPLE, visits: float = VISITS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for each row with ``is_query``
     (a condition on the column ``id``)."""
     rows = usable(vectors, id_col, vector_col)
@@ -163,7 +162,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "
     parts = np.maximum(1, -(-sizes // BLOCK))
     lots = max(1, -(-n * trees // LOT))
     plan = vectors.sparkSession.sparkContext.broadcast((sizes, parts))
-    stop = max(least_visits, visits * n)
+    stop = visits * n
 
     def lot_of(tree, leaf, part):
         key = ((np.asarray(leaf, dtype=np.uint64) * np.uint64(64) + np.asarray(tree, np.uint64))
@@ -171,26 +170,31 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "
             * np.uint64(0xC2B2AE3D27D4EB4F)
         return ((key >> np.uint64(33)) % np.uint64(lots)).astype(np.int64)
 
+    queries = cut(rows.where(is_query).dropDuplicates(["id", "k1", "k2"]))
+    asked = cut(queries.groupBy("k1", "k2").agg(F.first("v").alias("v")))
+    # Many queries are dealt over several tasks per lot, each with the lot's rows.
+    groups = max(1, -(-asked.count() // QUERY_PART))
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             tree, leaf = (batch.column(j).to_numpy(zero_copy_only=False) for j in (0, 1))
             first = batch.column(2).flatten().to_numpy(zero_copy_only=False)[
                 batch.column(2).offsets.to_numpy()[:-1] - batch.column(2).offsets[0].as_py()]
             part = (first * 2654435761 % (1 << 32)) % plan.value[1][tree, leaf]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(lot_of(tree, leaf, part)),
-                 pa.array((part * leaves + leaf) * trees + tree), batch.column(2),
-                 batch.column(3)], names=["lot", "key", "ids", "v"])
+            lot, key = lot_of(tree, leaf, part), (part * leaves + leaf) * trees + tree
+            for g in range(groups):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(lot * groups + g), pa.array(key), batch.column(2), batch.column(3)],
+                    names=["lot", "key", "ids", "v"])
 
     dealt = placed.mapInArrow(deal, "lot long, key long, ids array<long>, v array<double>")
-    queries = cut(rows.where(is_query).dropDuplicates(["id", "k1", "k2"]))
-    asked = queries.groupBy("k1", "k2").agg(F.first("v").alias("v"))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, parts = plan.value
         forest = Forest(*shared.value)
         for batch in batches:
             own, lot, keys = [], [], []
+            group = batch.column(0).to_numpy() % groups if batch.num_rows else []
             units = unit_rows(as_matrix(batch.column(2))) if batch.num_rows else []
             for r, x in enumerate(units):
                 pairs = [(t, f, p) for t, f in forest.search(x, sizes, stop)
@@ -203,7 +207,7 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "
                 for some in np.split(order, cuts):
                     if len(some):
                         own.append(r)
-                        lot.append(int(at[some[0]]))
+                        lot.append(int(at[some[0]]) * groups + int(group[r]))
                         keys.append(key[some])
             take = pa.array(own, pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -232,8 +236,9 @@ def nearest(vectors: DataFrame, is_query: Column, *, k: int = 5, id_col: str = "
                 at = np.concatenate(spans)
                 q = unit_rows(np.asarray(v, dtype=float)[None])[0]
                 score = (m[at] * q).sum(axis=1)  # one order of summing for every pair
-                if len(at) > 4 * (k + 1):
-                    low = np.partition(score, len(at) - 4 * (k + 1))[len(at) - 4 * (k + 1)]
+                most = trees * (k + 1)  # a vector may come once from every tree
+                if len(at) > most:
+                    low = np.partition(score, len(at) - most)[len(at) - most]
                     at, score = at[score >= low], score[score >= low]
                 best, seen = [], set()
                 for j in np.lexsort((first[at], -score)):
