@@ -74,6 +74,12 @@ def count_buckets(offsets, tokens: pa.Array, bits: int, kept, cache: dict):
     return key >> bits, key & ((1 << bits) - 1), count
 
 
+def one_text(rows: DataFrame) -> DataFrame:
+    """One row per ``__key``: of several texts the one with the smallest hash."""
+    return rows.groupBy("__key").agg(F.min(
+        F.struct(F.xxhash64("__text"), "__text"))["__text"].alias("__text"))
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str, usable, *, id_col: str = "doc_id",
           text_col: str = "text", max_positive: int = MAX_POSITIVE,
           max_unlabelled: int = MAX_UNLABELLED, bits: int = BITS):
@@ -88,11 +94,12 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, usable, *, id_col:
     unlabelled = bounded_sample(
         rows.where(usable(F.col("__key"))).select("__key"), "__key", max_unlabelled, 3)
     sides = [
-        rows.join(F.broadcast(positive.select("__id")), F.col("__key") == F.col("__id"))
-        .dropDuplicates(["__id"]).select("__key", F.lit(1).alias("__p"), "__text"),
-        rows.join(F.broadcast(unlabelled.dropDuplicates().select(F.col("__key").alias("__id"))),
-                  F.col("__key").eqNullSafe(F.col("__id")))
-        .dropDuplicates(["__key"]).select("__key", F.lit(0).alias("__p"), "__text"),
+        one_text(rows.join(F.broadcast(positive.select("__id")), F.col("__key") == F.col("__id")))
+        .select("__key", F.lit(1).alias("__p"), "__text"),
+        one_text(rows.join(
+            F.broadcast(unlabelled.dropDuplicates().select(F.col("__key").alias("__id"))),
+            F.col("__key").eqNullSafe(F.col("__id"))))
+        .select("__key", F.lit(0).alias("__p"), "__text"),
     ]
     sample = sides[0].unionByName(sides[1]).select(
         F.col("__key").cast("string").alias("id"), F.col("__p").alias("p"),
