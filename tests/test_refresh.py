@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 from conftest import SF001, raw_df
 from tidemark.plans.catalog import AS_OF
 from tidemark.plans.marts import daily_average
-from tidemark.plans.runs import forecast_slots, load_observations, refresh
+from tidemark.plans.runs import forecast_slots, load_observations, read_model, refresh
 from tidemark.plans.staging import staging
 from tidemark.session import scratch_path
 from tidemark.sources.payload import parse_payload
-from tidemark.sources.raw import observations
+from tidemark.sources.raw import city_dim, observations
+from tidemark.sources.versions import Store
+
+MODELS = ["stg_weather_data", "weather_report", "daily_average", "quality"]
 
 
 def test_observation_load_assigns_ids_after_base_and_rejects(spark):
@@ -43,6 +46,37 @@ def test_forecast_slots_one_row_per_city(spark):
     assert str(rows[0].time) == "2026-01-01 10:00:00" and str(rows[-1].time) == "2026-01-03 09:00:00"
 
 
+def test_listed_cities_get_slots_on_a_first_run(spark):
+    empty = raw_df(spark, [])
+    slots = forecast_slots(empty, cities=city_dim(spark), as_of="2026-01-01 10:42:00")
+    assert slots.columns == ["city", "utc_offset", "time"] and slots.count() == 1680
+    assert str(slots.agg(F.min("time")).first()[0]) == "2026-01-01 10:00:00"
+    raw = raw_df(spark, [dict(id=1, city="Tokyo", utc_offset="+9.0", inserted_at="2026-01-02 09:42:00")])
+    starts = forecast_slots(raw, cities=city_dim(spark), as_of="2026-01-01 10:42:00").groupBy(
+        "city", "utc_offset").agg(F.min("time").alias("t")).collect()
+    assert {r.city: (r.utc_offset, str(r.t)) for r in starts}["Tokyo"] == ("+9", "2026-01-02 09:00:00")
+    assert len(starts) == 10 and len({str(r.t) for r in starts}) == 2
+    with pytest.raises(ValueError):
+        forecast_slots(raw, cities=city_dim(spark))
+
+
+def test_a_refresh_shows_all_models_of_one_run(spark, monkeypatch):
+    """A run lost before its commit leaves the models of the last one."""
+    raw = observations(spark, SF001)
+    out = scratch_path(spark, "refresh-lost")
+    refresh(spark, raw, out, as_of="2024-01-05 12:00:00")
+    before = {m: read_model(spark, out, m).count() for m in MODELS}
+    with monkeypatch.context() as m:
+        m.setattr(Store, "publish", lambda *a, **k: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            refresh(spark, raw, out, as_of=AS_OF)
+    assert {m: read_model(spark, out, m).count() for m in MODELS} == before
+    held = {m: read_model(spark, out, m) for m in MODELS}  # a reader during the next run
+    refresh(spark, raw, out, as_of=AS_OF)
+    assert {m: held[m].count() for m in MODELS} == before
+    assert read_model(spark, out, "daily_average").count() == 275 != before["daily_average"]
+
+
 def test_second_refresh_replaces_the_first(spark):
     raw = observations(spark, SF001)
     out = scratch_path(spark, "refresh-twice")

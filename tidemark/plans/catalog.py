@@ -35,7 +35,7 @@ from tidemark.sources.ids import assign_ids
 from tidemark.sources.keyed import KeyedTable
 from tidemark.sources.ledger import RawTable
 from tidemark.sources.payload import parse_payload, payload_rows
-from tidemark.sources.raw import observations, read_table, scan_raw, scan_wildcard
+from tidemark.sources.raw import city_dim, observations, read_table, scan_raw, scan_wildcard
 from tidemark.sources.tables import (
     delete_where_equal, insert_if_absent, upsert,
 )
@@ -251,6 +251,12 @@ def q_hourly_spine(spark, sf):
     return forecast_slots(_raw(spark, sf))
 
 
+def q_hourly_spine_cities(spark, sf):
+    """Slots of every listed city; those without readings start from ``AS_OF``."""
+    raw = _raw(spark, sf).where(F.col("city") < "M")
+    return forecast_slots(raw, cities=city_dim(spark), as_of=AS_OF)
+
+
 def _payload_docs(spark, sf) -> DataFrame:
     """Reading documents rendered from the observation rows (error events
     carry no description, signup events omit the humidity key)."""
@@ -541,6 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_suite": q_dq_suite,
     "layer_counts": q_layer_counts,
     "hourly_spine": q_hourly_spine,
+    "hourly_spine_cities": q_hourly_spine_cities,
     "payload_extract": q_payload_extract,
     "observation_load": q_observation_load,
     "observation_rejects": q_observation_rejects,

@@ -1,17 +1,28 @@
 """Reference SQL (DuckDB dialect) for every registered query.
 
 Written independently of the DataFrame code as plain SQL over the driver's
-pre-registered views, so the two can be compared at sf0.01.
+pre-registered views, so the two can be compared at sf0.01. The parameters of the queries are
+written here again; only the fixed lists of ``schemas`` and the list of declared
+checks (which column, which test) are shared.
 """
 
 from __future__ import annotations
 
 from tidemark.operators.quality import Check, declared_checks, range_checks
-from tidemark.plans import catalog as C
 from tidemark.schemas import (
-    CITY_UTC_OFFSETS, LEGACY_TOP_K, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
+    CITY_UTC_OFFSETS, WEATHER_DESCRIPTIONS,
 )
 
+AS_OF = "2024-01-20 12:00:00"
+LEGACY_TOP_K, LEGACY_SMALL_K, TOP_LATEST_K, RESULT_ROW_CAP = 2000, 100, 10, 10_000
+STAR_TYPES = ["ECONOMY", "SMALL", "PROMO"]
+STAR_NATIONS = [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12]
+BRIDGE_REGION, DISTINCT_STATUS, EQUALS_STATUS = "EUROPE", "F", "P"
+IN_BRANDS = ["Brand#1", "Brand#7", "Brand#13", "Brand#22"]
+KEEP_STATUSES, DROP_PRIORITIES, ALWAYS_PRIORITIES = ["O", "F"], ["1-URGENT", "2-HIGH"], ["5-LOW"]
+LIKE_DATASET = "[%].[%](id:%)"
+TARGET_BEFORE, INCOMING_FROM, DELETE_PRIORITY = "1999-01-01", "1998-01-01", "1-URGENT"
+
 
 def _lit(v) -> str:
     if isinstance(v, bool):
@@ -72,7 +83,7 @@ filtered AS (
   SELECT * FROM with_local
   WHERE is_forecast = TRUE
      OR (is_forecast = FALSE
-         AND time_local_tz > TIMESTAMP '{C.AS_OF}' - INTERVAL 12 HOUR)
+         AND time_local_tz > TIMESTAMP '{AS_OF}' - INTERVAL 12 HOUR)
 ),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY city, time
@@ -115,12 +126,12 @@ prow AS (
 ),
 target AS (
   SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderdate < TIMESTAMP '{C.TARGET_BEFORE}'
+  FROM orders WHERE o_orderdate < TIMESTAMP '{TARGET_BEFORE}'
 ),
 incoming AS (
   SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice + 1.0 AS o_totalprice,
          o_orderdate, o_orderpriority
-  FROM orders WHERE o_orderdate >= TIMESTAMP '{C.INCOMING_FROM}'
+  FROM orders WHERE o_orderdate >= TIMESTAMP '{INCOMING_FROM}'
 )
 """
 
@@ -190,7 +201,7 @@ SELECT c_custkey, view_name FROM (
               ELSE '[' || n.n_name || '](id:' || CAST(c.c_custkey AS VARCHAR) || ')'
          END AS view_name
   FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-) WHERE view_name LIKE """ + _lit(C.LIKE_DATASET)
+) WHERE view_name LIKE """ + _lit(LIKE_DATASET)
 
 
 # Arrival in three steps; of the first, every 40th id comes with the last. The mark of a step is
@@ -226,7 +237,7 @@ SELECT {RAW_COLS} FROM (
   FROM raw) WHERE rn = 1""",
     "staging": f"{BASE} SELECT {STG_COLS} FROM stg",
     "staging_legacy": _legacy(LEGACY_TOP_K),
-    "staging_legacy_top100": _legacy(C.LEGACY_SMALL_K),
+    "staging_legacy_top100": _legacy(LEGACY_SMALL_K),
     "report": f"{BASE} SELECT {REPORT_COLS} FROM report",
     "daily_average": f"{BASE} SELECT * FROM daily",
     "daily_flag": f"""{BASE}
@@ -240,7 +251,7 @@ SELECT city, CAST(weather_time_local AS DATE) AS date,
 FROM stg GROUP BY 1, 2""",
     "top10_latest": f"""{BASE}
 SELECT * FROM report ORDER BY weather_time_local DESC NULLS FIRST, id DESC
-LIMIT {C.TOP_LATEST_K}""",
+LIMIT {TOP_LATEST_K}""",
     "row_cap": f"""SELECT * FROM orders ORDER BY o_orderdate DESC NULLS FIRST, o_orderkey ASC
 LIMIT {RESULT_ROW_CAP}""",
     "daily_newest_first": f"{BASE} SELECT * FROM daily ORDER BY city, date DESC",
@@ -269,6 +280,14 @@ SELECT 'Raw' AS layer, count(*) AS n FROM raw
 UNION ALL SELECT 'Staging', count(*) FROM stg
 UNION ALL SELECT 'Mart', count(*) FROM daily""",
     "hourly_spine": f"{BASE} SELECT city, utc_offset, time FROM spine",
+    "hourly_spine_cities": f"""{BASE}, listed AS (
+  SELECT c.city, c.utc_offset, date_trunc('hour', coalesce(
+           (SELECT max(r.inserted_at) FROM raw r WHERE r.city = c.city AND r.city < 'M'),
+           TIMESTAMP '2024-01-20 12:00:00')) AS start
+  FROM (VALUES {CITY_VALUES}) AS c(k, city, utc_offset)
+)
+SELECT city, utc_offset, start + to_hours(CAST(h AS BIGINT)) AS time
+FROM listed CROSS JOIN range(0, 168) AS t(h)""",
     "payload_extract": f"{BASE} SELECT * FROM prow",
     "observation_load": f"""{BASE}
 , landed AS (
@@ -305,7 +324,7 @@ SELECT DISTINCT l.l_orderkey
 FROM lineitem l
 JOIN part p ON l.l_partkey = p.p_partkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
-WHERE p.p_type IN ({_list(C.STAR_TYPES)}) AND s.s_nationkey IN ({_list(C.STAR_NATIONS)})""",
+WHERE p.p_type IN ({_list(STAR_TYPES)}) AND s.s_nationkey IN ({_list(STAR_NATIONS)})""",
     "bridge_join_count": f"""
 SELECT n.n_name, o.o_orderpriority, count(*) AS cnt
 FROM lineitem l
@@ -313,27 +332,27 @@ JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
-WHERE r.r_name = {_lit(C.BRIDGE_REGION)}
+WHERE r.r_name = {_lit(BRIDGE_REGION)}
 GROUP BY 1, 2""",
     "count_distinct_by_key": f"""
 SELECT o.o_orderpriority, count(DISTINCT l.l_suppkey) AS n_suppliers
 FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
-WHERE o.o_orderstatus = {_lit(C.DISTINCT_STATUS)}
+WHERE o.o_orderstatus = {_lit(DISTINCT_STATUS)}
 GROUP BY 1""",
     "two_key_count": """
 SELECT l_returnflag, l_linestatus, count(*) AS cnt FROM lineitem GROUP BY 1, 2""",
     "distinct_pairs": "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer",
     "in_list": f"""
-SELECT p_partkey, p_name, p_brand FROM part WHERE p_brand IN ({_list(C.IN_BRANDS)})""",
+SELECT p_partkey, p_name, p_brand FROM part WHERE p_brand IN ({_list(IN_BRANDS)})""",
     "not_in_or": f"""
 SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders
-WHERE (o_orderstatus IN ({_list(C.KEEP_STATUSES)})
-       AND o_orderpriority NOT IN ({_list(C.DROP_PRIORITIES)}))
-   OR o_orderpriority IN ({_list(C.ALWAYS_PRIORITIES)})""",
+WHERE (o_orderstatus IN ({_list(KEEP_STATUSES)})
+       AND o_orderpriority NOT IN ({_list(DROP_PRIORITIES)}))
+   OR o_orderpriority IN ({_list(ALWAYS_PRIORITIES)})""",
     "like_pattern": _like_names(),
     "equals_const": f"""
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders
-WHERE o_orderstatus = {_lit(C.EQUALS_STATUS)}""",
+WHERE o_orderstatus = {_lit(EQUALS_STATUS)}""",
     "upsert_by_key": f"""{BASE}
 SELECT * FROM target t
 WHERE NOT EXISTS (SELECT 1 FROM incoming i WHERE i.o_orderkey = t.o_orderkey)
@@ -395,7 +414,7 @@ SELECT * EXCLUDE (step, mark) FROM marked
 WHERE date_trunc('hour', inserted_at) + INTERVAL 1 HOUR <= mark""",
     "delete_by_key": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
-FROM orders WHERE o_orderpriority IS DISTINCT FROM {_lit(C.DELETE_PRIORITY)}""",
+FROM orders WHERE o_orderpriority IS DISTINCT FROM {_lit(DELETE_PRIORITY)}""",
 }
 
 # Changes committed to a table give what the plain forms give.

@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.timeshift import ntz_literal
 from tidemark.operators.quality import declared_checks, range_checks, run_suite
 from tidemark.operators.spine import hourly_slots, latest_hour_per_key
 from tidemark.plans.marts import daily_average, report
@@ -24,9 +25,23 @@ from tidemark.sources.tables import prepare_append
 from tidemark.sources.versions import Store
 
 
-def forecast_slots(raw: DataFrame, days_ahead: int = FORECAST_DAYS_AHEAD) -> DataFrame:
-    """Hourly slots (city, utc_offset, time) from the hour of each city's newest row."""
-    return hourly_slots(latest_hour_per_key(raw), "_start", days_ahead, "time").drop("_start")
+def forecast_slots(raw: DataFrame, days_ahead: int = FORECAST_DAYS_AHEAD,
+                   cities: DataFrame | None = None, as_of=None) -> DataFrame:
+    """Hourly slots (city, utc_offset, time).
+
+    Without ``cities`` every city of ``raw`` starts from the hour of its newest row. With a list of
+    cities (city, utc_offset) these get slots, whatever ``raw`` holds: the ones with readings
+    from their newest row, the others, all of them on a first run, from ``as_of``.
+    """
+    newest = latest_hour_per_key(raw)
+    if cities is None:
+        return hourly_slots(newest, "_start", days_ahead, "time").drop("_start")
+    if as_of is None:
+        raise ValueError("cities without readings need as_of")
+    seen = newest.select(F.col("city").alias("_c"), "_start")
+    starts = cities.select("city", "utc_offset").join(seen, F.col("city") == F.col("_c"), "left") \
+        .select("city", "utc_offset", F.coalesce("_start", ntz_literal(as_of)).alias("_start"))
+    return hourly_slots(starts, "_start", days_ahead, "time").drop("_start")
 
 
 def load_observations(parsed_payloads: DataFrame, id_base: int, text_col: str | None = None,
