@@ -18,8 +18,8 @@ Signatures only propose: a pair goes on when its agreement is above five standar
 under the threshold, and every link is confirmed on the full sets, in the JVM.
 
 No group is gathered whole: nodes and groups are counted with map-side sums, lists
-hold at most ``LEAF`` sets or two blocks, and no links or classes reach the driver. The sets are written
-once to the shared folder; only those in a proposed pair are joined back.
+hold at most ``LEAF`` sets or two blocks, and no links or classes reach the driver. Only signatures are
+kept of all sets; full sets are made anew from the texts that occur in a proposed pair.
 
 Edge cases: a null or blank text has the empty set, links with nothing and is its own
 component. One or two words form one shingle. Equal sets, whatever their order of words,
@@ -38,9 +38,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import blank_words, cut, list_parts, lower_ascii
+from tidemark.llm.common import blank_words, cut, list_parts, lower_ascii, written
 from tidemark.llm.components import components
-from tidemark.session import scratch_path
 
 PERCENT = 85  # least similarity, in percent of the union
 SHINGLE = 3
@@ -95,22 +94,34 @@ def signature(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def set_table(docs: DataFrame, *, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """Written rows (rid, id, n, k1, k2, sig, bits, shingles) of whole documents.
+def row_keys(id_col: str, text_col: str) -> list[Column]:
+    """(kid, kth): two 64-bit hashes of id and text that name a row's content."""
+    of = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    return [F.xxhash64(*of).alias("kid"), F.xxhash64(*reversed(of), F.lit(1)).alias("kth")]
+
+
+def word_column(text_col: str) -> Column:
+    return F.transform(blank_words(lower_ascii(F.col(text_col).cast("string"))),
+                       lambda w: F.xxhash64(w))
+
+
+def batch_sets(column: pa.Array, shingle: int) -> list[np.ndarray]:
+    offsets, values = list_parts(column)
+    hashes = values.to_numpy(zero_copy_only=False).view(np.uint64)
+    return [word_shingles(hashes[a:b], shingle) for a, b in zip(offsets[:-1], offsets[1:])]
+
+
+def signatures(docs: DataFrame, *, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """Written rows (id, kid, kth, n, k1, k2, sig, bits) of whole documents.
 
     (k1, k2) names the set, ``sig`` is its signature and ``bits`` a byte of each position.
     """
     factors = np.random.default_rng(13).integers(
         0, 1 << 63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    words = F.transform(blank_words(lower_ascii(F.col(text_col).cast("string"))),
-                        lambda w: F.xxhash64(w))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets, values = list_parts(batch.column(1))
-            hashes = values.to_numpy(zero_copy_only=False).view(np.uint64)
-            sets = [word_shingles(hashes[a:b], shingle)
-                    for a, b in zip(offsets[:-1], offsets[1:])]
+            sets = batch_sets(batch.column(3), shingle)
             n = np.array([len(s) for s in sets], dtype=np.int64)
             keys = np.array([(mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64),
                               mixed(s + np.uint64(0x14057B7EF767814F)).sum(dtype=np.uint64))
@@ -118,22 +129,38 @@ def set_table(docs: DataFrame, *, id_col: str, text_col: str, shingle: int) -> D
             sigs = np.array([signature(s, factors) for s in sets],
                             dtype=np.uint32).reshape(-1, POSITIONS)
             ends = pa.array(np.arange(0, sigs.size + 1, POSITIONS, dtype=np.int32))
-            flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
-            edges = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n), pa.array(keys[:, 0].copy().view(np.int64)),
+                [*batch.columns[:3], pa.array(n), pa.array(keys[:, 0].copy().view(np.int64)),
                  pa.array(keys[:, 1].copy().view(np.int64)),
                  pa.ListArray.from_arrays(ends, pa.array(sigs.ravel().view(np.int32))),
-                 pa.array([s.astype(np.uint8).tobytes() for s in sigs], pa.binary()),
-                 pa.ListArray.from_arrays(pa.array(edges), pa.array(flat.view(np.int64)))],
-                names=["id", "n", "k1", "k2", "sig", "bits", "shingles"])
+                 pa.array([s.astype(np.uint8).tobytes() for s in sigs], pa.binary())],
+                names=["id", "kid", "kth", "n", "k1", "k2", "sig", "bits"])
+
+    return written(docs.select(
+        F.col(id_col).cast("long").alias("id"), *row_keys(id_col, text_col),
+        word_column(text_col).alias("w")).mapInArrow(
+        build, "id long, kid long, kth long, n long, k1 long, k2 long, sig array<int>, bits binary"),
+        "signatures")
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, *, id_col: str, text_col: str,
+              shingle: int) -> DataFrame:
+    """(sid, shingles) of the rows (kid, kth, sid) in ``wanted``, made anew from their texts."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = batch_sets(batch.column(1), shingle)
+            flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
+            edges = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(pa.array(edges),
+                                                           pa.array(flat.view(np.int64)))],
+                names=["sid", "shingles"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), words.alias("w")).mapInArrow(
-        build, "id long, n long, k1 long, k2 long, sig array<int>, bits binary, "
-               "shingles array<long>")
-    path = scratch_path(docs.sparkSession, "shingle-sets")
-    rows.withColumn("rid", F.monotonically_increasing_id()).write.parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    texts = docs.select(*row_keys(id_col, text_col), F.col(text_col).cast("string").alias("t"))
+    return texts.join(wanted, ["kid", "kth"]).dropDuplicates(["sid"]) \
+        .select("sid", word_column("t").alias("w")) \
+        .mapInArrow(build, "sid long, shingles array<long>")
 
 
 # -- pairs inside groups -------------------------------------------------------
@@ -157,40 +184,146 @@ def bytes_matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(flat, dtype=np.uint8).reshape(len(column), -1)
 
 
-def proposed(groups: DataFrame, least: int, percent: int, best_only: bool) -> DataFrame:
-    """(a, b), a < b: pairs of a group with different roots, sizes that allow a link, and at least
-    ``least`` agreeing positions; or of each member the best such partner in its group.
+def struct_columns(x: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    sid, n, root = (x.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+    return sid, n, root, bytes_matrix(x.field(3))
+
+
+def candidates(sizes, starts, n, root, bits, least: int, percent: int):
+    """Chunks (a, b, agreement) of pairs of a group with different roots, sizes that allow a link,
+    and at least ``least`` agreeing positions."""
+    for a, b in group_pairs(sizes, starts):
+        able = (root[a] != root[b]) & (
+            100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+        a, b = a[able], b[able]
+        same = (bits[a] == bits[b]).sum(axis=1)
+        ok = same >= least
+        if ok.any():
+            yield a[ok], b[ok], same[ok]
+
+
+def best_of_each(who, other, same):
+    """Of every ``who`` the pair with the largest agreement, ties to the smaller partner."""
+    order = np.lexsort((other, -same, who))
+    who, other, same = who[order], other[order], same[order]
+    first = np.concatenate([[True], who[1:] != who[:-1]])[:len(who)]
+    return who[first], other[first], same[first]
+
+
+def joining(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Positions of the pairs (x, y) that join two trees, taken in order: a spanning forest."""
+    lo, hi = np.minimum(x, y), np.maximum(x, y)
+    order = np.lexsort((hi, lo))
+    new = np.concatenate([[True], (lo[order][1:] != lo[order][:-1])
+                          | (hi[order][1:] != hi[order][:-1])])[:len(x)]
+    at = np.sort(order[new])
+    parent: dict[int, int] = {}
+
+    def find(v: int) -> int:
+        while (up := parent.get(v, v)) != v:
+            parent[v] = parent.get(up, up)
+            v = up
+        return v
+
+    kept = []
+    for k, u, v in zip(at.tolist(), lo[at].tolist(), hi[at].tolist()):
+        u, v = find(u), find(v)
+        if u != v:
+            parent[v] = u
+            kept.append(k)
+    return np.array(kept, dtype=np.int64)
+
+
+def edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
-    ``groups`` has one column ``x``, a list of struct(sid, n, root, bits).
-    """
+
+NONE = np.zeros(0, dtype=np.int64)
+
+
+def best_pairs(groups: DataFrame, least: int, percent: int) -> DataFrame:
+    """(a, b): of each member of a group ``x`` the candidate partner that agrees most."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             offsets, x = list_parts(batch.column(0))
-            sid, n, root = (x.field(k).to_numpy(zero_copy_only=False) for k in range(3))
-            bits = bytes_matrix(x.field(3))
-            found = []
-            for a, b in group_pairs(np.diff(offsets), offsets[:-1]):
-                able = (root[a] != root[b]) & (
-                    100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
-                a, b = a[able], b[able]
-                same = (bits[a] == bits[b]).sum(axis=1)
-                ok = same >= least
-                found.append(np.stack([a[ok], b[ok], same[ok]]))
-            a, b, same = np.concatenate([*found, np.zeros((3, 0), np.int64)], axis=1).astype(np.int64)
-            if best_only and len(a):
-                who, other = np.concatenate([a, b]), np.concatenate([b, a])
-                order = np.lexsort((other, -np.concatenate([same, same]), who))
-                who, other = who[order], other[order]
-                first = np.concatenate([[True], who[1:] != who[:-1]])
-                a, b = who[first], other[first]
-            a, b = sid[a], sid[b]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            sid, n, root, bits = struct_columns(x)
+            found = [(NONE, NONE, NONE)]
+            for a, b, same in candidates(np.diff(offsets), offsets[:-1], n, root, bits, least,
+                                         percent):
+                found.append(best_of_each(np.concatenate([a, b]), np.concatenate([b, a]),
+                                          np.concatenate([same, same])))
+            who, other, _ = best_of_each(*map(np.concatenate, zip(*found)))
+            yield edge_batch(sid[who], sid[other])
 
     return groups.mapInArrow(scan, "a long, b long").distinct()
 
 
+def touching_roots(groups: DataFrame, least: int, percent: int) -> DataFrame:
+    """(a, b): pairs of roots that connect the same roots as all candidates of the groups."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, x = list_parts(batch.column(0))
+            _, n, root, bits = struct_columns(x)
+            xs, ys = NONE, NONE
+            for a, b, _ in candidates(np.diff(offsets), offsets[:-1], n, root, bits, least, percent):
+                xs, ys = np.concatenate([xs, root[a]]), np.concatenate([ys, root[b]])
+                on = joining(xs, ys)
+                xs, ys = xs[on], ys[on]
+            yield edge_batch(xs, ys)
+
+    return groups.mapInArrow(scan, "a long, b long").distinct()
+
+
+def overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets a[k] and b[k], on bit rows of the shared shingles."""
+    flat = np.concatenate([*sets, NONE])
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, back, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = count > 1
+    column = np.cumsum(shared) - 1
+    on = shared[back]
+    owner, at = owner[on], column[back[on]]
+    out = np.zeros(len(a), dtype=np.int64)
+    wide = 1 << 15
+    for lo in range(0, int(shared.sum()), wide):
+        here = (at >= lo) & (at < lo + wide)
+        dense = np.zeros((len(sets), wide), dtype=bool)
+        dense[owner[here], at[here] - lo] = True
+        rows = np.packbits(dense, axis=1)
+        for k in range(0, len(a), 4096):
+            both = rows[a[k:k + 4096]] & rows[b[k:k + 4096]]
+            out[k:k + 4096] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+    return out
+
+
+def cell_links(cells: DataFrame, least: int, percent: int) -> DataFrame:
+    """(a, b): confirmed links between members of a cell ``x`` with different roots, as many as
+    connect these roots. Members carry their full set."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets, x = list_parts(batch.column(0))
+            sid, n, root, bits = struct_columns(x)
+            ends, flat = list_parts(x.field(4))
+            flat = flat.to_numpy(zero_copy_only=False)
+            for lo, hi in zip(offsets[:-1], offsets[1:]):
+                sets = [flat[ends[k]:ends[k + 1]] for k in range(lo, hi)]
+                xs, ys = NONE, NONE
+                for a, b, _ in candidates(np.array([hi - lo]), np.array([lo]), n, root, bits, least,
+                                          percent):
+                    both = overlaps(sets, a - lo, b - lo)
+                    ok = both * 100 >= (n[a] + n[b] - both) * percent
+                    xs, ys = np.concatenate([xs, a[ok]]), np.concatenate([ys, b[ok]])
+                    on = joining(root[xs], root[ys])
+                    xs, ys = xs[on], ys[on]
+                yield edge_batch(sid[xs], sid[ys])
+
+    return cells.mapInArrow(scan, "a long, b long").distinct()
+
+
 def led(rows: DataFrame, least: int) -> DataFrame:
     """(a, b) of rows (sid, bits, lead, lead_bits) that agree in enough positions."""
 
@@ -200,10 +333,7 @@ def led(rows: DataFrame, least: int) -> DataFrame:
                 continue
             same = (bytes_matrix(batch.column(1)) == bytes_matrix(batch.column(3))).sum(axis=1)
             at = np.flatnonzero(same >= least)
-            a = batch.column(0).to_numpy()[at]
-            b = batch.column(2).to_numpy()[at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            yield edge_batch(batch.column(0).to_numpy()[at], batch.column(2).to_numpy()[at])
 
     return rows.mapInArrow(scan, "a long, b long").distinct()
 
@@ -262,13 +392,9 @@ def branch(sets: DataFrame, trees: int, leaf: int) -> tuple[DataFrame, DataFrame
     return union(small), union(large)
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, stored: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the threshold."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct()
-    full = cut(stored.join(sets.join(ends, "sid").select("sid", "rid"), "rid")
-               .select("sid", "shingles"))
-    # The larger id first, then the smaller: a leader may be either, and the second join, whose
-    # rows carry a set each, is split where one key has many.
+    # The second join, whose rows carry a set each, is split where one key, a leader, has many.
     left = full.select(F.col("sid").alias("a"), F.col("shingles").alias("sa"))
     right = full.select(F.col("sid").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
@@ -276,14 +402,14 @@ def confirmed(pairs: DataFrame, sets: DataFrame, stored: DataFrame, percent: int
         both * 100 >= (F.size("sa") + F.size("sb") - both) * percent).select("a", "b"))
 
 
-def cells(large: DataFrame, rooted: DataFrame, block: int) -> DataFrame:
-    """Lists of members of large nodes that hold sets of several classes, at most two blocks
+def cells(members: DataFrame, block: int, payload: list[str]) -> DataFrame:
+    """Lists of members of nodes that hold sets of several classes, at most two blocks
     each, so that every pair from different classes meets in one of them.
 
     Members of a node's largest class needn't meet each other, so they only meet the blocks of
     the others.
     """
-    members = cut(large.join(rooted, "sid"))
+    members = cut(members)
     by_class = members.groupBy("node", "root").agg(F.count(F.lit(1)).alias("m"))
     heads = cut(by_class.groupBy("node").agg(
         F.max_by("root", F.struct("m", "root")).alias("major"),
@@ -293,7 +419,7 @@ def cells(large: DataFrame, rooted: DataFrame, block: int) -> DataFrame:
     majors_of = F.ceil(F.col("most") / block).cast("int")
     inside = F.col("root") == F.col("major")
     rows = members.join(heads, "node").select(
-        "node", "sid", "n", "root", "bits", inside.alias("inside"), blocks_of.alias("nb"),
+        "node", *payload, inside.alias("inside"), blocks_of.alias("nb"),
         majors_of.alias("nm"),
         F.when(inside, F.pmod(spread, majors_of)).otherwise(F.pmod(spread, blocks_of))
         .cast("int").alias("own"))
@@ -305,22 +431,25 @@ def cells(large: DataFrame, rooted: DataFrame, block: int) -> DataFrame:
     from_major = F.transform(upto, lambda i: F.struct(i.alias("i"), (-F.col("own") - 1).alias("j")))
     cell = F.when(F.col("inside"), from_major).otherwise(F.concat(beside, across))
     return rows.withColumn("cell", F.explode(cell)).groupBy("node", "cell").agg(
-        F.collect_list(F.struct("sid", "n", "root", "bits")).alias("x")).select("x")
+        F.collect_list(F.struct(*payload)).alias("x")).select("x")
 
 
-def linked_sets(sets: DataFrame, stored: DataFrame, *, percent: int, recall: float,
-                leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
-    """(a, b): confirmed links that connect all sets of each component."""
+def linked_sets(sets: DataFrame, fetch, *, percent: int, recall: float, leaf: int = LEAF,
+                block: int = BLOCK) -> DataFrame:
+    """(a, b): confirmed links that connect all sets of each component.
+
+    ``fetch`` returns (sid, shingles) for a table of sids.
+    """
     least = least_agreement(percent / 100)
     small, large = branch(sets, tree_count(percent / 100, recall), leaf)
-    member = F.struct("sid", "n", "root", "bits")
+    member = ["sid", "n", "root", "bits"]
 
     def leaves(rooted: DataFrame) -> DataFrame:
-        return small.join(rooted, "sid").groupBy("node").agg(F.collect_list(member).alias("x")) \
-            .select("x")
+        return small.join(rooted, "sid").groupBy("node").agg(
+            F.collect_list(F.struct(*member)).alias("x")).select("x")
 
     alone = sets.select("sid", "n", "bits", F.col("sid").alias("root"))
-    first = proposed(leaves(alone), least, percent, best_only=True)
+    first = best_pairs(leaves(alone), least, percent)
     # One leader, the member with the smallest hash, so that trees agree on it.
     leads = large.groupBy("node").agg(
         F.min(F.struct(F.xxhash64("sid"), "sid")).alias("l")).select(
@@ -330,33 +459,44 @@ def linked_sets(sets: DataFrame, stored: DataFrame, *, percent: int, recall: flo
         sets.select(F.col("sid").alias("lead"), F.col("bits").alias("lead_bits")), "lead") \
         .select("sid", "bits", "lead", "lead_bits")
     tried = cut(first.unionByName(led(star, least)).distinct())
-    if tried.isEmpty():
-        return tried
-    links = confirmed(tried, sets, stored, percent)
-
+    # A set in any candidate pair of a small node has a best partner there, so these are all
+    # the sets that are ever compared in full; texts are read for them once.
+    ends = tried.select(F.explode(F.array("a", "b")).alias("sid")).unionByName(large.select("sid"))
+    full = cut(fetch(ends.distinct()))
+    links = confirmed(tried, full, percent)
+
+    # Links that are left join different classes. Classes with candidates between them are brought
+    # together, and their sets are compared in cells.
     roots = components(links)
     rooted = cut(sets.select("sid", "n", "bits").join(
         roots.withColumnRenamed("node", "sid"), "sid", "left")
         .withColumn("root", F.coalesce("root", "sid")))
-    second = proposed(leaves(rooted), least, percent, best_only=False).unionByName(
-        proposed(cells(large, rooted, block), least, percent, best_only=False)).distinct()
-    second = cut(second.join(tried, ["a", "b"], "left_anti"))
-    if second.isEmpty():
-        return links
-    return links.unionByName(confirmed(second, sets, stored, percent))
+    big = cells(large.join(rooted, "sid").select("node", *member), block, member)
+    near = touching_roots(leaves(rooted).unionByName(big), least, percent)
+    groups = components(near).select(F.col("node").alias("root"), F.col("root").alias("node"))
+    members = rooted.join(groups, "root").join(full, "sid").select("node", *member, "shingles")
+    more = cut(cell_links(cells(members, block, [*member, "shingles"]), least, percent))
+    return links.unionByName(more)
 
 
 def near_groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                 percent: int = PERCENT, shingle: int = SHINGLE, recall: float = RECALL,
                 leaf: int = LEAF, block: int = BLOCK) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id reachable), kept."""
-    stored = set_table(docs, id_col=id_col, text_col=text_col, shingle=shingle)
+    names = {"id_col": id_col, "text_col": text_col, "shingle": shingle}
+    stored = signatures(docs, **names)
     classes = stored.where("n > 0").groupBy("k1", "k2").agg(
-        F.min("rid").alias("rid"), F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"),
-        F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("bits").alias("bits"))
-    classes = cut(classes.withColumn("sid", F.col("rid")))
-    sets = classes.select("sid", "rid", "n", "sig", "bits")
-    links = linked_sets(sets, stored, percent=percent, recall=recall, leaf=leaf, block=block)
+        F.min(F.struct("kid", "kth")).alias("row"), F.min("id").alias("least"),
+        F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig"),
+        F.first("bits").alias("bits"))
+    classes = cut(classes.withColumn("sid", F.monotonically_increasing_id()))
+    rows = classes.select("sid", "row.kid", "row.kth")
+
+    def fetch(sids: DataFrame) -> DataFrame:
+        return full_sets(docs, rows.join(sids, "sid"), **names)
+
+    links = linked_sets(classes.select("sid", "n", "sig", "bits"), fetch, percent=percent,
+                        recall=recall, leaf=leaf, block=block)
     roots = components(links).withColumnRenamed("node", "sid")
     # Only sets with copies or links need a lookup; any other document is alone.
     named = cut(classes.select("sid", "k1", "k2", "least", "copies").join(roots, "sid", "left")
