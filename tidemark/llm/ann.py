@@ -34,7 +34,7 @@ TREES = 4
 LEAF = 48
 SAMPLE = 20_000
 SAMPLE_CELLS = 8_000_000  # sampled rows times dimensions
-VISITS = 0.95
+VISITS = 1.5
 BLOCK = 4_096
 LOT = 16_384
 QUERY_PART = 4_096  # distinct queries that meet a lot in one task
