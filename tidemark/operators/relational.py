@@ -32,10 +32,6 @@ def like(df: DataFrame, column: str, pattern: str) -> DataFrame:
     return df.filter(F.col(column).like(pattern))
 
 
-def between(df: DataFrame, column: str, low, high) -> DataFrame:
-    return df.filter(F.col(column).between(low, high))
-
-
 # -- aggregation shapes ----------------------------------------------------------
 
 def count_by(df: DataFrame, keys: list[str], alias: str = "cnt") -> DataFrame:

@@ -28,7 +28,7 @@ from tidemark.plans.runs import (
 )
 from tidemark.plans.staging import legacy_staging, staging, staging_sorted, with_local_time
 from tidemark.schemas import (
-    DAILY_COLUMNS, LEGACY_TOP_K, RAW_COLUMNS, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
+    DAILY_COLUMNS, LEGACY_TOP_K, LIKE_DATASET, RESULT_ROW_CAP, WEATHER_DESCRIPTIONS,
 )
 from tidemark.session import checkpoint_dir, scratch_path
 from tidemark.sources.ids import assign_ids
@@ -53,7 +53,6 @@ IN_BRANDS = ("Brand#1", "Brand#7", "Brand#13", "Brand#22")
 KEEP_STATUSES = ("O", "F")
 DROP_PRIORITIES = ("1-URGENT", "2-HIGH")
 ALWAYS_PRIORITIES = ("5-LOW",)
-LIKE_DATASET = "[%].[%](id:%)"
 EQUALS_STATUS = "P"
 TARGET_BEFORE = "1999-01-01"
 INCOMING_FROM = "1998-01-01"

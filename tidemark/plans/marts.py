@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.rollup import daily_means, daily_min_max
+from tidemark.operators.rollup import daily_means
 from tidemark.schemas import DAILY_COLUMNS, REPORT_COLUMNS
 
 
@@ -32,8 +32,3 @@ def daily_average(stg: DataFrame, scale: int = 2) -> DataFrame:
 def daily_sorted(daily: DataFrame) -> DataFrame:
     """Read-time order of the rollup: city, then newest date first."""
     return daily.orderBy(F.col("city").asc_nulls_last(), F.col("date").desc_nulls_first())
-
-
-def daily_temperature_range(stg: DataFrame) -> DataFrame:
-    """Average, maximum and minimum temperature per city and local date."""
-    return daily_min_max(stg, "city", "weather_time_local", "temperature", "temp")

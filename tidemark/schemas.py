@@ -46,6 +46,8 @@ LEGACY_TOP_K = 2000
 RESULT_ROW_CAP = 10000
 # Forecast horizon of one generator run, in days:
 FORECAST_DAYS_AHEAD = 7
+# Names of data sets in the permission lists:
+LIKE_DATASET = "[%].[%](id:%)"
 # ---------------------------------------------------------------------------
 
 CITIES: list[str] = [city for city, _ in CITY_UTC_OFFSETS]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import literal_frame
 from tidemark.functions.timeshift import hour_floor
-from tidemark.schemas import CITY_UTC_OFFSETS, RAW, RAW_COLUMNS
+from tidemark.schemas import CITY_UTC_OFFSETS, RAW_COLUMNS
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,11 +29,6 @@ def scan_raw(df: DataFrame) -> DataFrame:
     return df.select(*RAW_COLUMNS)
 
 
-def scan_raw_path(spark: SparkSession, path: str) -> DataFrame:
-    """Read a raw parquet table with the declared schema (no inference)."""
-    return spark.read.schema(RAW).parquet(path).select(*RAW_COLUMNS)
-
-
 def scan_wildcard(df: DataFrame) -> DataFrame:
     """``SELECT *`` of a table."""
     return df.select("*")

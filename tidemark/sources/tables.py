@@ -62,11 +62,6 @@ def delete_where_equal(df: DataFrame, column: str, value) -> DataFrame:
     return df.filter(~F.col(column).eqNullSafe(F.lit(value)))
 
 
-def delete_keys(target: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
-    """Delete every target row whose key appears in ``doomed``."""
-    return target.join(doomed.select(*keys).distinct(), keys, "left_anti")
-
-
 # -- writers -------------------------------------------------------------------
 
 def create_raw_table(spark: SparkSession, name: str, location: str | None = None) -> None:
