@@ -1,7 +1,7 @@
 """Operators and queries for large training-data corpora.
 
 Functions that run on executors travel with the task by value, so executors need
-numpy, pandas and pyarrow but no copy of this package.
+numpy, pandas, pyarrow and xxhash but no copy of this package.
 """
 
 import sys
