@@ -49,7 +49,8 @@ RECALL = 1 - 1e-8  # of any single link, as far as the branching decides
 LEAF = 48  # sets in a node that are compared exhaustively
 STUCK = 0.7  # a child with more of its parent's sets than this doesn't branch again
 LEVELS = 6
-BLOCK = 512
+BLOCK = 2_048
+BLOCK_SHINGLES = 1 << 19
 
 
 def tree_count(similarity: float, recall: float) -> int:
@@ -277,26 +278,31 @@ def touching_roots(groups: DataFrame, least: int, percent: int) -> DataFrame:
     return groups.mapInArrow(scan, "a long, b long").distinct()
 
 
-def overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Sizes of the intersections of sets a[k] and b[k], on bit rows of the shared shingles."""
-    flat = np.concatenate([*sets, NONE])
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, back, count = np.unique(flat, return_inverse=True, return_counts=True)
-    shared = count > 1
-    column = np.cumsum(shared) - 1
-    on = shared[back]
-    owner, at = owner[on], column[back[on]]
-    out = np.zeros(len(a), dtype=np.int64)
-    wide = 1 << 15
-    for lo in range(0, int(shared.sum()), wide):
-        here = (at >= lo) & (at < lo + wide)
-        dense = np.zeros((len(sets), wide), dtype=bool)
-        dense[owner[here], at[here] - lo] = True
-        rows = np.packbits(dense, axis=1)
-        for k in range(0, len(a), 4096):
-            both = rows[a[k:k + 4096]] & rows[b[k:k + 4096]]
-            out[k:k + 4096] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
-    return out
+class Overlaps:
+    """Intersection sizes of pairs of sets, on bit rows of the shingles that several sets share."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        flat = np.concatenate([*sets, NONE])
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        _, back, count = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = count > 1
+        on = shared[back]
+        owner, at = owner[on], (np.cumsum(shared) - 1)[back[on]]
+        parts = [np.zeros((len(sets), 0), dtype=np.uint8)]
+        for lo in range(0, int(shared.sum()), 4096):
+            here = (at >= lo) & (at < lo + 4096)
+            dense = np.zeros((len(sets), 4096), dtype=bool)
+            dense[owner[here], at[here] - lo] = True
+            parts.append(np.packbits(dense, axis=1))
+        self.rows = np.concatenate(parts, axis=1)
+
+    def count(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(a), dtype=np.int64)
+        each = max(64, (8 << 20) // max(1, self.rows.shape[1]))
+        for k in range(0, len(a), each):
+            both = self.rows[a[k:k + each]] & self.rows[b[k:k + each]]
+            out[k:k + each] = np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        return out
 
 
 def cell_links(cells: DataFrame, least: int, percent: int) -> DataFrame:
@@ -311,10 +317,10 @@ def cell_links(cells: DataFrame, least: int, percent: int) -> DataFrame:
             flat = flat.to_numpy(zero_copy_only=False)
             for lo, hi in zip(offsets[:-1], offsets[1:]):
                 sets = [flat[ends[k]:ends[k + 1]] for k in range(lo, hi)]
-                xs, ys = NONE, NONE
+                xs, ys, shared = NONE, NONE, Overlaps(sets)
                 for a, b, _ in candidates(np.array([hi - lo]), np.array([lo]), n, root, bits, least,
                                           percent):
-                    both = overlaps(sets, a - lo, b - lo)
+                    both = shared.count(a - lo, b - lo)
                     ok = both * 100 >= (n[a] + n[b] - both) * percent
                     xs, ys = np.concatenate([xs, a[ok]]), np.concatenate([ys, b[ok]])
                     on = joining(root[xs], root[ys])
@@ -404,19 +410,25 @@ def confirmed(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
 
 def cells(members: DataFrame, block: int, payload: list[str]) -> DataFrame:
     """Lists of members of nodes that hold sets of several classes, at most two blocks
-    each, so that every pair from different classes meets in one of them.
+    each, so that every pair from different classes meets in one of them. A block has about
+    ``block`` sets and ``BLOCK_SHINGLES`` shingles at most, or one set.
 
     Members of a node's largest class needn't meet each other, so they only meet the blocks of
     the others.
     """
     members = cut(members)
-    by_class = members.groupBy("node", "root").agg(F.count(F.lit(1)).alias("m"))
+    by_class = members.groupBy("node", "root").agg(F.count(F.lit(1)).alias("m"),
+                                                   F.sum("n").alias("s"))
     heads = cut(by_class.groupBy("node").agg(
         F.max_by("root", F.struct("m", "root")).alias("major"),
-        (F.sum("m") - F.max("m")).alias("others"), F.max("m").alias("most")).where("others > 0"))
+        (F.sum("m") - F.max("m")).alias("others"), F.max("m").alias("most"),
+        F.max_by("s", F.struct("m", "root")).alias("inside_s"), F.sum("s").alias("all_s"))
+        .where("others > 0"))
     spread = F.xxhash64("sid")
-    blocks_of = F.ceil(F.col("others") / block).cast("int")
-    majors_of = F.ceil(F.col("most") / block).cast("int")
+    blocks_of = F.greatest(F.ceil(F.col("others") / block), F.ceil(
+        (F.col("all_s") - F.col("inside_s")) / BLOCK_SHINGLES)).cast("int")
+    majors_of = F.greatest(F.ceil(F.col("most") / block),
+                           F.ceil(F.col("inside_s") / BLOCK_SHINGLES)).cast("int")
     inside = F.col("root") == F.col("major")
     rows = members.join(heads, "node").select(
         "node", *payload, inside.alias("inside"), blocks_of.alias("nb"),
@@ -471,7 +483,9 @@ def linked_sets(sets: DataFrame, fetch, *, percent: int, recall: float, leaf: in
     rooted = cut(sets.select("sid", "n", "bits").join(
         roots.withColumnRenamed("node", "sid"), "sid", "left")
         .withColumn("root", F.coalesce("root", "sid")))
-    big = cells(large.join(rooted, "sid").select("node", *member), block, member)
+    # Trees meet the same group in many nodes; nodes with one leader are compared as one.
+    led_by = large.join(leads, "node").select(F.col("lead").alias("node"), "sid").distinct()
+    big = cells(led_by.join(rooted, "sid").select("node", *member), block, member)
     near = touching_roots(leaves(rooted).unionByName(big), least, percent)
     groups = components(near).select(F.col("node").alias("root"), F.col("root").alias("node"))
     members = rooted.join(groups, "root").join(full, "sid").select("node", *member, "shingles")
